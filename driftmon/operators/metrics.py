@@ -41,10 +41,7 @@ def auc_from_counts(counts: DataFrame, by=()) -> DataFrame:
     up. Where the ranges fall does not change the result.
     """
     by = list(by)
-    ranges = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = counts.repartitionByRange(ranges, *by, "score").withColumn(
-        "_range", F.spark_partition_id()
-    )
+    placed = counts.repartitionByRange(*by, "score").withColumn("_range", F.spark_partition_id())
     below = (
         Window.partitionBy(*by, "_range")
         .orderBy("score")
@@ -55,6 +52,7 @@ def auc_from_counts(counts: DataFrame, by=()) -> DataFrame:
         placed.withColumn("_area", _wide(F.col("pos")) * _wide(2 * lower + F.col("neg")))
         .groupBy(*by, "_range")
         .agg(
+            F.min("score").alias("_from"),
             F.sum("_area").alias("_area"),
             F.sum("pos").alias("pos"),
             F.sum("neg").alias("neg"),
@@ -62,7 +60,7 @@ def auc_from_counts(counts: DataFrame, by=()) -> DataFrame:
         )
     )
     ranges_below = (
-        Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*by).orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
     )
     lower = F.coalesce(F.sum("neg").over(ranges_below), F.lit(0))
     totals = (

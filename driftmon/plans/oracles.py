@@ -158,7 +158,7 @@ SELECT idx, round(feature_0, 3) AS feature_0, round(feature_1, 3) AS feature_1,
     "row_number_by_time": f"""WITH {EVENTS}
 SELECT id, "timestamp", label, row_number() OVER (ORDER BY "timestamp", id) AS row_num FROM ev""",
     "history_count": 'SELECT count(*) AS "rows" FROM events',
-    "chrono_split_rows": f"""WITH {SEA}
+    "chrono_split": f"""WITH {SEA}
 SELECT id, "timestamp", row_number() OVER (ORDER BY "timestamp", id)
   <= CAST(floor((SELECT count(*) FROM points) * 0.7::DOUBLE) AS BIGINT) AS in_train
 FROM points""",
@@ -178,7 +178,7 @@ SELECT * FROM areas""",
     "auc_drift_by_block": f"WITH {_block_aucs('hard')} SELECT * FROM verdicts",
     "auc_drift_by_rank_score": f"WITH {_block_aucs('rank_score')} SELECT * FROM verdicts",
     "auc_drift_by_window": f"{WINDOWS} SELECT * FROM windows",
-    "rmse_total": f"""WITH {SEA}
+    "rmse": f"""WITH {SEA}
 SELECT count(*) AS "rows", round(sqrt(avg((label - hard) * (label - hard))), 9) AS rmse
 FROM sea""",
     "rmse_drift_by_block": f"""WITH {BLOCK_RMSE}
@@ -192,7 +192,7 @@ FROM sea JOIN verdicts USING (blk) WHERE drift""",
 SELECT "timestamp", CAST(drift AS INTEGER) AS drift FROM rows_out""",
     "panel_feature_series": f"""WITH {EVENTS}
 SELECT "timestamp", feature_0 FROM ev ORDER BY "timestamp" DESC, id LIMIT 100""",
-    "drift_alerts": f"""WITH {_block_aucs("hard")}
+    "alerts": f"""WITH {_block_aucs("hard")}
 SELECT *, 'Potential Drift Detected' AS message FROM verdicts WHERE drift""",
     "latest_run": f"""WITH {RUN_LOG}
 SELECT run_id, start_time, status FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 1""",

@@ -16,18 +16,10 @@ from driftmon.functions.codec import (
     to_store,
     uuid_from,
 )
+from driftmon.operators import metrics, split, verdicts
 from driftmon.operators.latest import latest_per_key
-from driftmon.operators.metrics import auc, rmse
 from driftmon.operators.ranking import row_numbers
-from driftmon.operators.split import chrono_split, train_part
-from driftmon.operators.verdicts import (
-    alerts,
-    auc_verdicts,
-    drift_series,
-    newest,
-    rmse_verdicts,
-    stamp_by,
-)
+from driftmon.operators.verdicts import stamp_by
 from driftmon.plans import fixtures, jobs, models, runs
 from driftmon.plans.fixtures import RECORD_COLUMNS
 from driftmon.schemas import RECORD, VERDICT
@@ -226,14 +218,14 @@ def history_count(spark, sf_dir):
 
 
 @query
-def chrono_split_rows(spark, sf_dir):
+def chrono_split(spark, sf_dir):
     points = fixtures.sea_points(spark, sf_dir)
-    return points.select("id", "timestamp", train_part(points).alias("in_train"))
+    return points.select("id", "timestamp", split.train_part(points).alias("in_train"))
 
 
 @query
 def split_sizes(spark, sf_dir):
-    early, late = chrono_split(fixtures.events(spark, sf_dir))
+    early, late = split.chrono_split(fixtures.events(spark, sf_dir))
     both = early.withColumn("part", F.lit("train")).union(late.withColumn("part", F.lit("test")))
     return both.groupBy("part").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -247,7 +239,7 @@ def split_sizes(spark, sf_dir):
 
 @query
 def auc_exact(spark, sf_dir):
-    return auc(fixtures.events(spark, sf_dir), "feature_0")
+    return metrics.auc(fixtures.events(spark, sf_dir), "feature_0")
 
 
 @query
@@ -260,7 +252,7 @@ def auc_by_block(spark, sf_dir):
         )
     )
     scored = sea.select("blk", "label", scorer.alias("s")).select("blk", "label", "s.*")
-    return auc(scored, by=["scorer", "blk"])
+    return metrics.auc(scored, by=["scorer", "blk"])
 
 
 def _hard(spark, sf_dir):
@@ -269,11 +261,11 @@ def _hard(spark, sf_dir):
 
 
 def _auc_verdicts(scored, score="score"):
-    return auc_verdicts(auc(scored, score, by=["blk"]), "blk", 1)
+    return verdicts.auc_verdicts(metrics.auc(scored, score, by=["blk"]), "blk", 1)
 
 
 def _rmse_verdicts(scored):
-    return rmse_verdicts(rmse(scored, by=["blk"]), "blk", 1)
+    return verdicts.rmse_verdicts(metrics.rmse(scored, by=["blk"]), "blk", 1)
 
 
 @query
@@ -294,8 +286,8 @@ def auc_drift_by_window(spark, sf_dir):
 
 
 @query
-def rmse_total(spark, sf_dir):
-    out = rmse(_hard(spark, sf_dir))
+def rmse(spark, sf_dir):
+    out = metrics.rmse(_hard(spark, sf_dir))
     return out.withColumn("rmse", F.round("rmse", 9))
 
 
@@ -308,9 +300,9 @@ def rmse_drift_by_block(spark, sf_dir):
 @query
 def rmse_conditional_rows(spark, sf_dir):
     scored = _hard(spark, sf_dir)
-    verdicts = _rmse_verdicts(scored).select("blk", "drift")
+    flags = _rmse_verdicts(scored).select("blk", "drift")
     kept = ["id", "label", "prediction", "feature_0", "feature_1", "feature_2", "timestamp"]
-    return stamp_by(scored, verdicts, "blk").where("drift").select(*kept)
+    return stamp_by(scored, flags, "blk").where("drift").select(*kept)
 
 
 def _verdict_rows(spark, sf_dir):
@@ -325,17 +317,17 @@ def verdict_table(spark, sf_dir):
 
 @query
 def panel_drift_series(spark, sf_dir):
-    return drift_series(_verdict_rows(spark, sf_dir))
+    return verdicts.drift_series(_verdict_rows(spark, sf_dir))
 
 
 @query
 def panel_feature_series(spark, sf_dir):
-    return newest(fixtures.events(spark, sf_dir), "feature_0")
+    return verdicts.newest(fixtures.events(spark, sf_dir), "feature_0")
 
 
 @query
-def drift_alerts(spark, sf_dir):
-    return alerts(_auc_verdicts(_hard(spark, sf_dir)))
+def alerts(spark, sf_dir):
+    return verdicts.alerts(_auc_verdicts(_hard(spark, sf_dir)))
 
 
 # Run log

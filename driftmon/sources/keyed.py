@@ -70,8 +70,16 @@ def read_table(
     up_to: int | None = None,
     key=KEY,
 ) -> DataFrame:
-    """The table as a store would show it: the newest version of every key."""
-    return latest_per_key(scan_batches(spark, path, schema, after, up_to), key, BATCH, True)
+    """The table as a store would show it: the newest version of every key.
+
+    Batches count from 0 and hold a key once, so bounds that leave a single batch
+    need no merge and no shuffle.
+    """
+    versions = scan_batches(spark, path, schema, after, up_to)
+    first = 0 if after is None else after + 1
+    if up_to is not None and up_to == first:
+        return versions.drop(BATCH)
+    return latest_per_key(versions, key, BATCH, drop_order=True)
 
 
 def last_batch(spark: SparkSession, path: str, schema: StructType) -> int | None:
@@ -111,7 +119,6 @@ def create_tables(spark: SparkSession, root: str, database: str = "default") ->
         )
 
 
-def refresh_tables(spark: SparkSession, database: str = "default") -> None:
-    """Let the catalog see batches that were written since."""
-    for name in TABLES:
-        spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
+def refresh_table(spark: SparkSession, name: str, database: str = "default") -> None:
+    """Let the catalog see the batches written to a table since."""
+    spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")

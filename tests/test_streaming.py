@@ -1,0 +1,130 @@
+import datetime as dt
+import json
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from driftmon.functions.codec import decode
+from driftmon.schemas import RECORD
+from driftmon.sources.connectors import append_external, read_external, stream_external
+from driftmon.sources.keyed import read_table
+from driftmon.sources.streams import kafka_options, read_stream, show_stream, write_records
+from driftmon.streaming.ingest import ingest_batch, start_ingest
+from driftmon.streaming.monitor import start_monitor
+
+NOW = {"availableNow": True}
+
+
+def message(key, minute, label=0.0, feature=1.0):
+    time = dt.datetime(2024, 4, 12) + dt.timedelta(minutes=minute)
+    return json.dumps(
+        {
+            "id": key,
+            "timestamp": time.isoformat(timespec="microseconds"),
+            "feature_0": feature,
+            "feature_1": 2.0,
+            "feature_2": 3.0,
+            "label": label,
+        }
+    )
+
+
+def put(folder, name, lines):
+    Path(folder, "in").mkdir(exist_ok=True)
+    Path(folder, "in", name).write_text("\n".join(lines) + "\n")
+
+
+def ingest(spark, folder):
+    stream = read_stream(spark, "text", f"{folder}/in", maxFilesPerTrigger="1")
+    args = [f"{folder}/{n}" for n in ("table", "rejects", "offsets")]
+    query = start_ingest(stream, *args, trigger=NOW)
+    query.awaitTermination(120)
+    assert query.exception() is None
+
+
+def stored(spark, folder):
+    return {r.id: r.label for r in read_table(spark, f"{folder}/table", RECORD).collect()}
+
+
+def test_restart_goes_on_where_it_stopped(spark, folder):
+    put(folder, "a.txt", [message("a", 0), message("b", 1), "{bad", message("a", 0, 1.0)])
+    ingest(spark, folder)
+    assert stored(spark, folder) == {"a": 1.0, "b": 0.0}
+    put(folder, "b.txt", [message("b", 1, 7.0), message("c", 2), '{"id":"x"}'])
+    ingest(spark, folder)
+    ingest(spark, folder)
+    assert stored(spark, folder) == {"a": 1.0, "b": 7.0, "c": 0.0}
+    rejects = {r.raw for r in spark.read.parquet(f"{folder}/rejects").collect()}
+    assert rejects == {"{bad", '{"id":"x"}'}
+
+
+def test_replayed_batch(spark, folder):
+    rows = [(message("a", 0), 1), (message("a", 0, 5.0), 2), ("{bad", 3)]
+    batch = spark.createDataFrame(rows, "value string, _order int")
+    for _ in range(2):
+        ingest_batch(batch, 4, f"{folder}/table", f"{folder}/rejects")
+    assert stored(spark, folder) == {"a": 5.0}
+    assert spark.read.parquet(f"{folder}/table").count() == 1
+    assert spark.read.parquet(f"{folder}/rejects").count() == 1
+
+
+def test_monitor_emits_closed_windows_once(spark, folder):
+    """Positives score high on the first day and low on the second."""
+    for day, flip in ((0, 1.0), (1, -1.0), (2, 1.0)):
+        lines = [
+            message(f"{day}-{i}", day * 1440 + i, float(i % 2), flip * (i % 2) + i / 1000)
+            for i in range(100)
+        ]
+        put(folder, f"d{day}.txt", lines)
+
+    def run():
+        stream = read_stream(spark, "text", f"{folder}/in", maxFilesPerTrigger="1")
+        scored = decode(stream).withColumn("score", F.col("feature_0"))
+        query = start_monitor(scored, 1.0, f"{folder}/out", f"{folder}/offsets", trigger=NOW)
+        query.awaitTermination(120)
+        assert query.exception() is None
+
+    run()
+    rows = spark.read.parquet(f"{folder}/out").orderBy("window_start").collect()
+    assert [(r.window_start.day, r.test_auc, r.drift) for r in rows] == [
+        (12, 1.0, False),
+        (13, 0.0, True),
+    ]
+    put(folder, "d3.txt", [message("3", 3 * 1440 + 11)])
+    run()
+    rows = spark.read.parquet(f"{folder}/out").orderBy("window_start").collect()
+    assert [r.window_start.day for r in rows] == [12, 13, 14]
+
+
+def test_external_tables(spark, folder):
+    put(folder, "a.txt", [message("a", 0)])
+    records = decode(spark.read.text(f"{folder}/in"))
+    append_external(records, "parquet", RECORD, path=f"{folder}/ext")
+    stream = decode(read_stream(spark, "text", f"{folder}/in"))
+    query = stream_external(stream, "parquet", f"{folder}/o", RECORD, path=f"{folder}/ext")
+    query.processAllAvailable()
+    query.stop()
+    assert read_external(spark, "parquet", path=f"{folder}/ext").count() == 2
+
+
+def test_records_out_and_shown(spark, folder):
+    put(folder, "a.txt", [message("a", 0)])
+    write_records(decode(spark.read.text(f"{folder}/in")), "text", f"{folder}/out")
+    assert decode(spark.read.text(f"{folder}/out")).first().id == "a"
+    query = show_stream(decode(read_stream(spark, "text", f"{folder}/in")), f"{folder}/offsets")
+    query.processAllAvailable()
+    query.stop()
+    assert query.exception() is None
+
+
+def test_kafka_options():
+    options = kafka_options("host:9092", per_trigger=100)
+    assert options["startingOffsets"] == "earliest"
+    assert options["subscribe"] == "data_stream"
+    assert options["maxOffsetsPerTrigger"] == "100"
+
+
+def test_kafka_source_needs_its_connector(spark):
+    with pytest.raises(Exception, match="kafka"):
+        read_stream(spark, "kafka", **kafka_options("host:9092"))
