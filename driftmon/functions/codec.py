@@ -43,10 +43,12 @@ def encode(df: DataFrame) -> DataFrame:
 def decode(df: DataFrame, value: str = "value", schema: StructType = RECORD, keep=()) -> DataFrame:
     """Parse text or binary JSON with a fixed schema; what does not parse becomes null.
 
-    `keep` names input columns carried along next to the decoded ones.
+    `keep` names input columns carried along next to the decoded ones. The struct is
+    unpacked by a generator, not a projection: a filter on its fields then stays
+    above it, where it would otherwise be pushed down with a parse of its own.
     """
-    data = F.from_json(F.col(value).cast("string"), schema).alias("_data")
-    return df.select(*keep, data).select(*keep, "_data.*")
+    data = F.from_json(F.col(value).cast("string"), schema)
+    return df.select(*keep, F.inline(F.array(data)))
 
 
 def has_key(key=KEY) -> Column:

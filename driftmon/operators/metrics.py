@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+CHUNK_BITS = 20  # neighbouring scores summed up together: about a million
+
 
 def _wide(counts: Column) -> Column:
     """Products of row counts outgrow 64 bits long before a table outgrows a cluster."""
@@ -35,42 +37,37 @@ def auc_from_counts(counts: DataFrame, by=()) -> DataFrame:
     """Exact area under ROC per group from `score_counts`; null for one-class groups.
 
     Twice the area is the sum over scores of pos * (2 * negatives below + neg), so
-    ties count one half. The running count is taken inside range partitions of
-    (by, score), which Spark balances by sampling, so neither a large group nor
-    nearly unique scores end up in one task; the totals per range are then added
-    up. Where the ranges fall does not change the result.
+    ties count one half. Scores are range-sorted, which Spark balances by sampling,
+    and cut into chunks of neighbours; the running count is taken inside a chunk and
+    the totals per chunk are then added up. Neither a large group nor nearly unique
+    scores end up in one task, and where the chunks begin does not change the result.
     """
     by = list(by)
-    placed = counts.repartitionByRange(*by, "score").withColumn("_range", F.spark_partition_id())
-    below = (
-        Window.partitionBy(*by, "_range")
-        .orderBy("score")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    placed = (
+        counts.repartitionByRange(*by, "score")
+        .sortWithinPartitions(*by, "score")
+        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_chunk", F.shiftright("_at", CHUNK_BITS))
     )
-    lower = F.coalesce(F.sum("neg").over(below), F.lit(0))
-    per_range = (
+    earlier = Window.unboundedPreceding, -1
+    in_chunk = Window.partitionBy(*by, "_chunk").orderBy("_at").rowsBetween(*earlier)
+    lower = F.coalesce(F.sum("neg").over(in_chunk), F.lit(0))
+    per_chunk = (
         placed.withColumn("_area", _wide(F.col("pos")) * _wide(2 * lower + F.col("neg")))
-        .groupBy(*by, "_range")
+        .groupBy(*by, "_chunk")
         .agg(
             F.min("score").alias("_from"),
-            F.sum("_area").alias("_area"),
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.sum("dropped").alias("dropped"),
+            *[F.sum(c).alias(c) for c in ("_area", "pos", "neg", "dropped")],
         )
     )
-    ranges_below = (
-        Window.partitionBy(*by).orderBy("_from").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    lower = F.coalesce(F.sum("neg").over(ranges_below), F.lit(0))
+    chunks = Window.partitionBy(*by).orderBy("_from").rowsBetween(*earlier)
+    lower = F.coalesce(F.sum("neg").over(chunks), F.lit(0))
     totals = (
-        per_range.withColumn("_area", F.col("_area") + _wide(F.col("pos")) * _wide(2 * lower))
+        per_chunk.withColumn("_area", F.col("_area") + _wide(F.col("pos")) * _wide(2 * lower))
         .groupBy(*by)
         .agg(
-            F.coalesce(F.sum("pos"), F.lit(0)).alias("pos"),
-            F.coalesce(F.sum("neg"), F.lit(0)).alias("neg"),
-            F.coalesce(F.sum("dropped"), F.lit(0)).alias("dropped"),
             F.sum("_area").alias("_area"),
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pos", "neg", "dropped")],
         )
     )
     both = (F.col("pos") > 0) & (F.col("neg") > 0)

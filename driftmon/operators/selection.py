@@ -4,11 +4,12 @@ from dataclasses import dataclass
 from functools import reduce
 from os.path import commonprefix
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 4096  # histogram rows the driver sees per open range and pass
 EDGE_ROWS = 20_000  # a range this small is sorted directly
+NOT_UNIQUE = "the key is not unique; keep the latest row per key first"
 
 
 @dataclass(frozen=True)
@@ -86,7 +87,7 @@ def cut_at_ranks(
             _narrow_key(keyed, in_key)
         else:
             break
-    return [_edge_row(keyed, s) for s in searches]
+    return _edge_rows(keyed, searches)
 
 
 def _inside(s: _Search) -> Column:
@@ -152,17 +153,31 @@ def _take(s: _Search, parts):
     raise RuntimeError("the table changed between passes; read it as of a batch")
 
 
-def _edge_row(keyed: DataFrame, s: _Search) -> Cut:
-    if s.single_key and s.rows > 1:
-        raise ValueError("the key is not unique; keep the latest row per key first")
-    edge = (
-        keyed.where(_inside(s))
-        .select(F.unix_micros("_t").alias("micros"), F.col("_k").alias("key"))
-        .orderBy("micros", "key")
-        .offset(s.rank - 1)
-        .limit(2)
+def _edge_rows(keyed: DataFrame, searches) -> list[Cut]:
+    """Number the rows of the small ranges; read the row at each rank and the next one."""
+    if any(s.single_key and s.rows > 1 for s in searches):
+        raise ValueError(NOT_UNIQUE)
+    ranges = _ranges(searches)
+    place, wanted = F.lit(None), F.lit(False)
+    for i, r in enumerate(ranges):
+        place = F.when(_inside(r), F.lit(i)).otherwise(place)
+        ranks = [s.rank + n for s in searches if s.where == r.where for n in (0, 1)]
+        wanted = wanted | ((F.col("range") == i) & F.col("rank").isin(ranks))
+    order = Window.partitionBy("range").orderBy("_t", "_k")
+    rows = (
+        keyed.where(reduce(lambda a, b: a | b, map(_inside, ranges)))
+        .select(place.alias("range"), "_t", "_k")
+        .select("range", "_k", "_t", F.row_number().over(order).alias("rank"))
+        .where(wanted)
+        .select("range", "rank", F.unix_micros("_t").alias("micros"), "_k")
         .collect()
     )
-    if len(edge) == 2 and edge[0] == edge[1]:
-        raise ValueError("the key is not unique; keep the latest row per key first")
-    return Cut(edge[0].micros, edge[0].key)
+    found = {(r["range"], r["rank"]): Cut(r["micros"], r["_k"]) for r in rows}
+    home = {r.where: i for i, r in enumerate(ranges)}
+    cuts = []
+    for s in searches:
+        here = (home[s.where], s.rank)
+        if found[here] == found.get((here[0], s.rank + 1)):
+            raise ValueError(NOT_UNIQUE)
+        cuts.append(found[here])
+    return cuts

@@ -7,6 +7,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.sql import functions as F
 
 from driftmon.functions.rules import auc_drift, rmse_drift
+from driftmon.operators import metrics
 from driftmon.operators.metrics import auc, auc_from_counts, rmse
 from driftmon.operators.verdicts import stamp, stamp_by
 from driftmon.plans import fixtures
@@ -47,7 +48,7 @@ def test_auc_equals_evaluator(spark, sf_dir):
     assert exact + mirrored == pytest.approx(1.0, abs=1e-12)
 
 
-def test_auc_does_not_depend_on_partitioning(spark, sf_dir):
+def test_auc_does_not_depend_on_partitioning(spark, sf_dir, monkeypatch):
     df = fixtures.events(spark, sf_dir).withColumn("part", F.pmod(F.hash("id"), F.lit(3)))
     want = {r.part: r.auc for r in auc(df, "feature_0", by=["part"]).collect()}
     old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
@@ -55,8 +56,10 @@ def test_auc_does_not_depend_on_partitioning(spark, sf_dir):
         for parts, adaptive in (("1", "true"), ("50", "false"), ("50", "true")):
             spark.conf.set("spark.sql.shuffle.partitions", parts)
             spark.conf.set("spark.sql.adaptive.enabled", adaptive)
-            got = {r.part: r.auc for r in auc(df, "feature_0", by=["part"]).collect()}
-            assert got == want
+            for bits in (20, 3):
+                monkeypatch.setattr(metrics, "CHUNK_BITS", bits)
+                got = {r.part: r.auc for r in auc(df, "feature_0", by=["part"]).collect()}
+                assert got == want
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)

@@ -2,19 +2,21 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from driftmon.operators import ranking
 from driftmon.operators.ranking import row_numbers
 
 
-@pytest.fixture
-def many_partitions(spark):
-    """Keep small partitions apart so that groups span several."""
+@pytest.fixture(params=[20, 4])
+def many_chunks(spark, monkeypatch, request):
+    """Keep small partitions apart, and cut them, so that groups span several chunks."""
+    monkeypatch.setattr(ranking, "CHUNK_BITS", request.param)
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(key, "false")
     yield
     spark.conf.set(key, "true")
 
 
-def test_hot_group(spark, many_partitions):
+def test_hot_group(spark, many_chunks):
     """One user holds most rows and spans partitions; null is a group as well."""
     user = F.when(F.col("id") % 10 < 6, 7).when(F.col("id") % 10 == 6, None).otherwise(F.col("id") % 50)
     df = spark.range(5000).select("id", user.alias("user"), (F.col("id") * 37 % 1009).alias("t"))
@@ -25,7 +27,7 @@ def test_hot_group(spark, many_partitions):
     assert got.count() == 5000
 
 
-def test_whole_table(spark, many_partitions):
+def test_whole_table(spark, many_chunks):
     df = spark.range(3000).select("id", (F.col("id") * 37 % 101).alias("t"))
     got = row_numbers(df, ["t", "id"])
     want = F.row_number().over(Window.orderBy("t", "id"))
