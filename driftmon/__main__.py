@@ -23,9 +23,17 @@ def messages(spark, args):
     return read_stream(spark, "text", args.source)
 
 
+def trigger(args):
+    return {"availableNow": True} if args.once else None
+
+
 def stream(spark, args, store):
     start_ingest(
-        messages(spark, args), store.stream, store.rejects, store.path("offsets/ingest")
+        messages(spark, args),
+        store.stream,
+        store.rejects,
+        store.path("offsets/ingest"),
+        trigger=trigger(args),
     ).awaitTermination()
 
 
@@ -75,14 +83,19 @@ def monitor(spark, args, store):
     records = decode(messages(spark, args)).where(has_key())
     scored = models.score(models.load(base["artifact_uri"]), records)
     start_monitor(
-        scored, base["auc"], store.path("windows"), store.path("offsets/monitor"), args.width
+        scored,
+        base["auc"],
+        store.path("windows"),
+        store.path("offsets/monitor"),
+        args.width,
+        trigger=trigger(args),
     ).awaitTermination()
 
 
 JOBS = {f.__name__: f for f in (stream, produce, load, train, test, cycle, monitor)}
 
 
-def main():
+def parse(argv=None):
     parser = argparse.ArgumentParser(prog="driftmon")
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--root", required=True, help="shared folder of tables, runs and models")
@@ -95,7 +108,12 @@ def main():
     parser.add_argument("--size", type=int, default=1)
     parser.add_argument("--width", default="1 day", help="monitor window")
     parser.add_argument("--database", default="default")
-    args = parser.parse_args()
+    parser.add_argument("--once", action="store_true", help="stream what is there, then stop")
+    return parser.parse_args(argv)
+
+
+def main(argv=None):
+    args = parse(argv)
     spark = pin(SparkSession.builder.appName(f"driftmon-{args.job}").getOrCreate())
     JOBS[args.job](spark, args, jobs.Store(args.root))
 

@@ -20,7 +20,7 @@ from driftmon.schemas import (
     VERDICT,
     VERDICT_TABLE,
 )
-from driftmon.session import written
+from driftmon.session import discard, work_path, written_at
 from driftmon.sources.keyed import last_batch, promote, read_table, write_batch
 
 
@@ -111,7 +111,8 @@ def test(
     verdict belongs to exactly the rows that carry it.
     """
     scored = models.score(models.load(baseline["artifact_uri"]), table)
-    scored = written(scored, "scored")
+    path = work_path(spark, "scored")
+    scored = written_at(scored, path)
     measured = auc(scored).withColumn(
         "drift", auc_drift(F.col("auc"), F.lit(baseline["auc"]).cast("double"), threshold)
     )
@@ -125,6 +126,7 @@ def test(
     write_batch(rows, store.verdicts, batch_id, VERDICT)
     log_alert(spark, store, run, baseline)
     runs.log_run(spark, store.runs, run)
+    discard(spark, path)
     return run
 
 
@@ -148,7 +150,8 @@ def test_rmse(
 ) -> dict:
     """RMSE variant: rows are stored, with the run's stamp, only when drift was found."""
     scored = models.score(models.load(baseline["artifact_uri"]), table)
-    scored = written(scored, "scored")
+    path = work_path(spark, "scored")
+    scored = written_at(scored, path)
     measured = rmse(scored).withColumn(
         "drift", rmse_drift(F.col("rmse"), F.lit(baseline["rmse"]).cast("double"), factor)
     )
@@ -171,6 +174,7 @@ def test_rmse(
             .parquet(out)
         )
     runs.log_run(spark, store.runs, run)
+    discard(spark, path)
     return run
 
 
@@ -190,35 +194,31 @@ def promote_and_clear(spark: SparkSession, store: Store, up_to: int, after: int
 def run_cycle(spark: SparkSession, store: Store, **params) -> dict:
     """Train, test until the gate opens, promote. The next cycle is the caller's call.
 
-    History and stream are read as of fixed batches; a stream that keeps writing
-    does not change what this cycle sees or moves.
+    Each test reads the stream up to the batch that is the newest when it starts, and
+    the promotion moves exactly what the last test has seen. A stream that keeps
+    writing loses nothing.
     """
-    history = read_table(
-        spark, store.history, RECORD, up_to=last_batch(spark, store.history, RECORD)
-    )
-    # Splitting and fitting read it several times; settle the keys once.
-    trained = train(spark, written(history, "history"), store, **params)
-    mark = promoted_up_to(runs.read_runs(spark, store.runs))
-    up_to = last_batch(spark, store.stream, RECORD)
-    if up_to is None or (mark is not None and up_to <= mark):
-        return trained
-    verdict_batch = last_batch(spark, store.verdicts, VERDICT) if _exists(spark, store) else -1
+    mark = promoted_up_to(runs.read_runs(spark, store.runs)) if _logged(spark, store) else None
+    # Splitting and fitting read history several times; settle its keys once.
+    path = work_path(spark, "history")
+    up_to = last_batch(spark, store.history, RECORD)
+    history = written_at(read_table(spark, store.history, RECORD, up_to=up_to), path)
+    trained = train(spark, history, store, **params)
+    discard(spark, path)
+    batch = runs.read_runs(spark, store.runs).where("kind = 'test'").count()
     while True:
-        verdict_batch += 1
-        test(
-            spark,
-            read_table(spark, store.stream, RECORD, mark, up_to),
-            trained,
-            store,
-            verdict_batch,
-        )
-        tested = runs.runs_since(
-            runs.read_runs(spark, store.runs), "test", trained["start_time"]
-        )
-        if runs.gate(tested).first()["ready"]:
+        up_to = last_batch(spark, store.stream, RECORD)
+        if up_to is None or (mark is not None and up_to <= mark):
+            return trained
+        table = read_table(spark, store.stream, RECORD, mark, up_to)
+        test(spark, table, trained, store, batch)
+        batch += 1
+        log = runs.read_runs(spark, store.runs)
+        if runs.gate(runs.runs_since(log, "test", trained["start_time"])).first()["ready"]:
             return promote_and_clear(spark, store, up_to, mark)
 
 
-def _exists(spark: SparkSession, store: Store) -> bool:
-    """Verdicts exist once a test run was logged."""
-    return not runs.read_runs(spark, store.runs).where("kind = 'test'").isEmpty()
+def _logged(spark: SparkSession, store: Store) -> bool:
+    """Whether any run was logged here; the first cycle starts without a log."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(store.runs)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

@@ -188,6 +188,15 @@ FROM verdicts""",
 SELECT id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp"
 FROM sea JOIN verdicts USING (blk) WHERE drift""",
     "verdict_table": f"{VERDICT_ROWS} SELECT * FROM rows_out",
+    "verdict_retest": f"""WITH {_block_aucs("hard")}
+SELECT id, label, hard AS prediction, "timestamp",
+  CAST(CAST(feature_0 AS FLOAT) AS DOUBLE) AS feature_0,
+  CAST(CAST(feature_1 AS FLOAT) AS DOUBLE) AS feature_1,
+  CAST(CAST(feature_2 AS FLOAT) AS DOUBLE) AS feature_2,
+  CAST(CAST(train_auc AS FLOAT) AS DOUBLE) AS train_auc,
+  CAST(CAST(test_auc AS FLOAT) AS DOUBLE) AS test_auc,
+  abs(test_auc - train_auc) > CASE WHEN blk > 2 THEN 0.05::DOUBLE ELSE 0.08::DOUBLE END AS drift
+FROM sea JOIN verdicts USING (blk)""",
     "panel_drift_series": f"""{VERDICT_ROWS}
 SELECT "timestamp", CAST(drift AS INTEGER) AS drift FROM rows_out""",
     "panel_feature_series": f"""WITH {EVENTS}

@@ -38,11 +38,22 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage with a table: the rows no longer depend on how they were made."""
-    path = work_path(df.sparkSession, name)
+    return written_at(df, work_path(df.sparkSession, name))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a work table that nothing reads any more; refuses paths outside the work folder."""
+    if not path.startswith(f"{work_root(spark)}/driftmon/"):
+        raise ValueError(f"{path} is not a work table")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df` marked for broadcast if it has at most `rows` rows, else unchanged.
 
