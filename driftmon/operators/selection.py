@@ -36,6 +36,7 @@ class _Search:
     hi: int
     rows: int
     prefix: str = ""
+    may_share: bool = True
     single_key: bool = False
 
     @property
@@ -68,7 +69,8 @@ def cut_at_ranks(
     Each pass counts rows in at most `BINS` equal time bins per open range and
     keeps the bin that holds the rank, so a pass shuffles bin counts, not rows,
     and later passes filter on the time column. A range that is one instant with
-    very many rows is narrowed on leading characters of the key in the same way.
+    very many rows is narrowed on leading characters of the key in the same way;
+    the driver then sees one row per different character.
     Only a range of at most `EDGE_ROWS` rows is ever sorted.
     """
     size = size or extent(df, time, key)
@@ -101,46 +103,80 @@ def _ranges(searches):
     return list({s.where: s for s in searches}.values())
 
 
+def _in_any(ranges) -> Column:
+    return reduce(lambda a, b: a | b, map(_inside, ranges))
+
+
+def _by_range(ranges, value=None) -> Column:
+    """Number of the range a row is in, or `value(range)` for it."""
+    out = F.lit(None)
+    for i, r in enumerate(ranges):
+        out = F.when(_inside(r), value(r) if value else F.lit(i)).otherwise(out)
+    return out
+
+
 def _narrow_time(keyed: DataFrame, searches) -> None:
-    ranges = _ranges(searches)
-    micros = F.unix_micros("_t")
-    place = F.lit(None)
-    for i, s in enumerate(ranges):
-        step = (s.hi - s.lo) // BINS + 1
-        bin_no = F.call_function("div", micros - F.lit(s.lo), F.lit(step))
-        place = F.when(_inside(s), F.lit(i * BINS) + bin_no).otherwise(place)
-    bins = (
-        keyed.where(reduce(lambda a, b: a | b, map(_inside, ranges)))
-        .groupBy(place.alias("bin"))
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.unix_micros(F.min("_t")).alias("lo"),
-            F.unix_micros(F.max("_t")).alias("hi"),
-        )
-        .collect()
-    )
-    by_range = {s.where: [] for s in ranges}
-    for b in sorted(bins, key=lambda b: b.lo):
-        home = next(s for s in ranges if s.lo <= b.lo <= s.hi)
-        by_range[home.where].append(b)
-    for s in searches:
-        found = _take(s, by_range[s.where])
-        s.lo, s.hi = found.lo, found.hi
+    """Keep the equal-width time bin that holds the rank."""
+
+    def bin_number(r):
+        step = (r.hi - r.lo) // BINS + 1
+        return F.call_function("div", F.unix_micros("_t") - F.lit(r.lo), F.lit(step))
+
+    bounds = [F.unix_micros(F.min("_t")).alias("first"), F.unix_micros(F.max("_t")).alias("last")]
+    for s, parts in _count_parts(keyed, searches, bin_number, bounds):
+        found = _take(s, parts)
+        s.lo, s.hi = found["first"], found["last"]
 
 
 def _narrow_key(keyed: DataFrame, searches) -> None:
-    """One character of the key per pass; a shared prefix is skipped in one step."""
+    """Keep the next key character that holds the rank."""
+    _skip_shared_prefix(keyed, [s for s in searches if s.may_share])
+    searches = [s for s in searches if not s.single_key]
+
+    def next_char(r):
+        return F.substring("_k", len(r.prefix) + 1, 1)
+
+    for s, parts in _count_parts(keyed, searches, next_char):
+        char = _take(s, parts).part
+        s.prefix += char
+        s.single_key = char == ""
+        s.may_share = len(parts) == 1
+
+
+def _skip_shared_prefix(keyed: DataFrame, searches) -> None:
+    """Extend the prefix by what all keys of the range have in common."""
+    if not searches:
+        return
+    ranges = _ranges(searches)
+    ends = [
+        end(F.when(_inside(r), F.col("_k"))).alias(f"{name}_{i}")
+        for i, r in enumerate(ranges)
+        for name, end in (("first", F.min), ("last", F.max))
+    ]
+    row = keyed.where(_in_any(ranges)).agg(*ends).first()
+    shared = {r.where: (row[f"first_{i}"], row[f"last_{i}"]) for i, r in enumerate(ranges)}
     for s in searches:
-        at = len(s.prefix) + 1
-        groups = (
-            keyed.where(_inside(s))
-            .groupBy(F.substring("_k", at, 1).alias("char"))
-            .agg(F.count(F.lit(1)).alias("rows"), F.min("_k").alias("lo"), F.max("_k").alias("hi"))
-            .collect()
-        )
-        found = _take(s, sorted(groups, key=lambda g: g.char))
-        s.prefix = commonprefix([found.lo, found.hi])
-        s.single_key = found.lo == found.hi
+        first, last = shared[s.where]
+        s.prefix = commonprefix([first, last])
+        s.single_key = first == last
+        s.may_share = False
+
+
+def _count_parts(keyed: DataFrame, searches, part, bounds=()):
+    """One pass over the open ranges: each search with the parts of its range in order."""
+    if not searches:
+        return []
+    ranges = _ranges(searches)
+    counted = (
+        keyed.where(_in_any(ranges))
+        .groupBy(_by_range(ranges).alias("range"), _by_range(ranges, part).alias("part"))
+        .agg(F.count(F.lit(1)).alias("rows"), *bounds)
+        .collect()
+    )
+    parts = {r.where: [] for r in ranges}
+    for c in sorted(counted, key=lambda c: c.part):
+        parts[ranges[c["range"]].where].append(c)
+    return [(s, parts[s.where]) for s in searches]
 
 
 def _take(s: _Search, parts):
@@ -158,15 +194,14 @@ def _edge_rows(keyed: DataFrame, searches) -> list[Cut]:
     if any(s.single_key and s.rows > 1 for s in searches):
         raise ValueError(NOT_UNIQUE)
     ranges = _ranges(searches)
-    place, wanted = F.lit(None), F.lit(False)
+    wanted = F.lit(False)
     for i, r in enumerate(ranges):
-        place = F.when(_inside(r), F.lit(i)).otherwise(place)
         ranks = [s.rank + n for s in searches if s.where == r.where for n in (0, 1)]
         wanted = wanted | ((F.col("range") == i) & F.col("rank").isin(ranks))
     order = Window.partitionBy("range").orderBy("_t", "_k")
     rows = (
-        keyed.where(reduce(lambda a, b: a | b, map(_inside, ranges)))
-        .select(place.alias("range"), "_t", "_k")
+        keyed.where(_in_any(ranges))
+        .select(_by_range(ranges).alias("range"), "_t", "_k")
         .select("range", "_k", "_t", F.row_number().over(order).alias("rank"))
         .where(wanted)
         .select("range", "rank", F.unix_micros("_t").alias("micros"), "_k")

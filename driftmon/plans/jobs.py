@@ -16,6 +16,7 @@ from driftmon.schemas import (
     HISTORY_TABLE,
     RECORD,
     RMSE_FACTOR,
+    RMSE_ROW,
     STREAM_TABLE,
     VERDICT,
     VERDICT_TABLE,
@@ -160,16 +161,7 @@ def test_rmse(
     if run["drift"]:
         (
             scored.withColumn("test_timestamp", F.lit(run["start_time"]))
-            .select(
-                "id",
-                "test_timestamp",
-                "label",
-                "prediction",
-                "feature_0",
-                "feature_1",
-                "feature_2",
-                "timestamp",
-            )
+            .select(*RMSE_ROW)
             .write.mode("append")
             .parquet(out)
         )

@@ -185,7 +185,8 @@ FROM sea""",
 SELECT blk, round(train_rmse, 9) AS train_rmse, round(test_rmse, 9) AS test_rmse, drift
 FROM verdicts""",
     "rmse_conditional_rows": f"""WITH {BLOCK_RMSE}
-SELECT id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp"
+SELECT id, TIMESTAMP '2002-01-01 12:00:00' AS test_timestamp, label, hard AS prediction,
+  feature_0, feature_1, feature_2, "timestamp"
 FROM sea JOIN verdicts USING (blk) WHERE drift""",
     "verdict_table": f"{VERDICT_ROWS} SELECT * FROM rows_out",
     "verdict_retest": f"""WITH {_block_aucs("hard")}

@@ -22,7 +22,7 @@ from driftmon.operators.ranking import row_numbers
 from driftmon.operators.verdicts import stamp_by
 from driftmon.plans import fixtures, jobs, models, runs
 from driftmon.plans.fixtures import RECORD_COLUMNS
-from driftmon.schemas import AUC_THRESHOLD, RECORD, VERDICT
+from driftmon.schemas import AUC_THRESHOLD, RECORD, RMSE_ROW, VERDICT
 from driftmon.session import pin, work_path, written
 from driftmon.sources.files import read_arff, read_csv, slice_number
 from driftmon.sources.keyed import promote, read_table, write_batch
@@ -301,8 +301,9 @@ def rmse_drift_by_block(spark, sf_dir):
 def rmse_conditional_rows(spark, sf_dir):
     scored = _hard(spark, sf_dir)
     flags = _rmse_verdicts(scored).select("blk", "drift")
-    kept = ["id", "label", "prediction", "feature_0", "feature_1", "feature_2", "timestamp"]
-    return stamp_by(scored, flags, "blk").where("drift").select(*kept)
+    run_time = F.to_timestamp(F.lit("2002-01-01 12:00:00"))
+    rows = stamp_by(scored, flags, "blk").where("drift").withColumn("test_timestamp", run_time)
+    return rows.select(*RMSE_ROW)
 
 
 def _verdict_rows(spark, sf_dir):

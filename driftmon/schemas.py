@@ -25,6 +25,17 @@ HISTORY_TABLE = "dataframe_train"
 STREAM_TABLE = "dataframe_test"
 VERDICT_TABLE = "drift_analysis"
 
+RMSE_ROW = [
+    "id",
+    "test_timestamp",
+    "label",
+    "prediction",
+    "feature_0",
+    "feature_1",
+    "feature_2",
+    "timestamp",
+]
+
 RECORD = StructType(
     [
         StructField("id", StringType()),

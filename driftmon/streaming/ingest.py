@@ -42,8 +42,7 @@ def start_ingest(
     `{"availableNow": True}`; without it micro-batches follow one another.
     """
     writer = (
-        messages.writeStream.queryName("ingest")
-        .option("checkpointLocation", checkpoint)
+        messages.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(lambda df, n: ingest_batch(df, n, table, rejects, schema))
     )
     return (writer.trigger(**trigger) if trigger else writer).start()

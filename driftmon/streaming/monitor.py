@@ -57,13 +57,17 @@ def start_monitor(
     """
 
     def emit(counts: DataFrame, batch_id: int):
-        verdicts = window_verdicts(counts, baseline, threshold)
-        verdicts.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
+        counts = counts.persist()  # the state is read and stored once per batch
+        try:
+            if not counts.isEmpty():
+                verdicts = window_verdicts(counts, baseline, threshold)
+                verdicts.write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
+        finally:
+            counts.unpersist()
 
     writer = (
         window_counts(scored.withWatermark("timestamp", late), width)
-        .writeStream.queryName("monitor")
-        .outputMode("append")
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(emit)
     )

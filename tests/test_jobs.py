@@ -1,4 +1,5 @@
 import datetime as dt
+from glob import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from driftmon.functions.codec import to_store
 from driftmon.plans import fixtures, jobs, models, runs
 from driftmon.schemas import RECORD, RUN, VERDICT
-from driftmon.session import written
+from driftmon.session import discard, work_path, work_root, written
 from driftmon.sources.keyed import read_table, write_batch
 
 
@@ -17,13 +18,19 @@ def sea(spark, sf_dir):
     return written(df.select(*RECORD.names, "blk"), "sea")
 
 
+@pytest.fixture(scope="module")
+def trained(spark, sea):
+    """A classifier run on the first block."""
+    return jobs.train(spark, sea.where("blk = 1"), jobs.Store(work_path(spark, "trained")))
+
+
 @pytest.fixture
 def store(folder):
     return jobs.Store(folder)
 
 
-def test_train_and_test_by_block(spark, sea, store):
-    run = jobs.train(spark, sea.where("blk = 1"), store)
+def test_train_and_test_by_block(spark, sea, store, trained):
+    run = trained
     assert run["auc"] > 0.98
     same = jobs.test(spark, sea.where("blk = 1"), run, store, 0)
     moved = jobs.test(spark, sea.where("blk = 4"), run, store, 1)
@@ -37,31 +44,60 @@ def test_train_and_test_by_block(spark, sea, store):
     assert alert[0].message == "Potential Drift Detected"
 
 
-def test_training_is_repeatable(spark, sea, store):
-    first = jobs.train(spark, sea.where("blk = 1"), store)
-    second = jobs.train(spark, sea.where("blk = 1"), store)
-    assert first["auc"] == pytest.approx(second["auc"], abs=1e-6)
+def test_training_is_repeatable(spark, sea, store, trained):
+    again = jobs.train(spark, sea.where("blk = 1"), store)
+    assert again["auc"] == pytest.approx(trained["auc"], abs=1e-6)
 
 
-def test_retest_replaces_the_verdict(spark, sea, store):
-    run = jobs.train(spark, sea.where("blk = 1"), store)
+def test_retest_replaces_the_verdict(spark, sea, store, trained):
     part = sea.where("blk = 4")
-    jobs.test(spark, part, run, store, 0)
-    jobs.test(spark, part, run | {"auc": 0.9}, store, 1)
+    jobs.test(spark, part, trained, store, 0)
+    jobs.test(spark, part, trained | {"auc": 0.9}, store, 1)
     rows = read_table(spark, store.verdicts, VERDICT)
     assert rows.count() == part.count()
     assert rows.where("drift").isEmpty()
 
 
-def test_no_verdict(spark, sea, store):
-    run = jobs.train(spark, sea.where("blk = 1"), store)
-    empty = jobs.test(spark, sea.where("false"), run, store, 0)
+def test_no_verdict(spark, sea, store, trained):
+    empty = jobs.test(spark, sea.where("false"), trained, store, 0)
     assert (empty["auc"], empty["drift"]) == (None, None)
-    nan = jobs.test(spark, sea.where("blk = 4"), run | {"auc": float("nan")}, store, 1)
+    nan = jobs.test(spark, sea.where("blk = 4"), trained | {"auc": float("nan")}, store, 1)
     assert nan["drift"] is None
     assert nan["note"]
 
 
+def test_missing_labels_are_counted(spark, sea, store, trained):
+    label = F.when(F.col("feature_2") > 2, F.col("label"))
+    part = sea.where("blk = 1").withColumn("label", label)
+    run = jobs.test(spark, part, trained, store, 0)
+    missing = part.where("label is null").count()
+    assert run["note"] == f"{missing} rows without a label were not measured"
+    assert read_table(spark, store.verdicts, VERDICT).count() == part.count()
+
+
+def test_work_tables_are_removed(spark, sea, store, trained):
+    jobs.test(spark, sea.where("blk = 1"), trained, store, 0)
+    left = glob(f"{work_root(spark)}/driftmon/scored-*")
+    with pytest.raises(ValueError, match="not a work table"):
+        discard(spark, store.verdicts)
+    jobs.test(spark, sea.where("blk = 1"), trained, store, 1)
+    assert glob(f"{work_root(spark)}/driftmon/scored-*") == left
+
+
+def test_null_features(spark, sea, trained):
+    part = sea.where("blk = 1").withColumn("feature_1", F.when(F.col("feature_2") > 2, F.col("feature_1")))
+    model = models.load(trained["artifact_uri"])
+    with pytest.raises(Exception, match="null"):
+        models.score(model, part).write.format("noop").mode("overwrite").save()
+    model.stages[0].setHandleInvalid("skip")
+    assert models.score(model, part).count() == part.where("feature_2 > 2").count()
+
+
+def test_labels_must_be_zero_or_one(spark, sea):
+    with pytest.raises(Exception, match="[Ll]abel"):
+        models.fit(sea.where("blk = 1").withColumn("label", F.col("label") * 3))
+
+
 def test_single_class_history_is_noted(spark, sea, store):
     run = jobs.train(spark, sea.where("blk = 1 and label = 1"), store)
     assert run["auc"] is None
@@ -104,13 +140,11 @@ def test_spread(spark, sea, by):
     assert models.spread(sea, by).count() == sea.count()
 
 
-def test_models_score_a_stream(spark, sea, folder):
-    model = models.fit(sea.where("blk = 1"))
-    models.save(model, f"{folder}/model")
+def test_models_score_a_stream(spark, sea, folder, trained):
     to_store(sea, RECORD).write.parquet(f"{folder}/in")
     stream = spark.readStream.schema(RECORD).parquet(f"{folder}/in")
     query = (
-        models.score(models.load(f"{folder}/model"), stream)
+        models.score(models.load(trained["artifact_uri"]), stream)
         .writeStream.format("parquet")
         .option("checkpointLocation", f"{folder}/offsets")
         .trigger(availableNow=True)
