@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 BINS = 4096  # histogram rows the driver sees per open range and pass
 EDGE_ROWS = 20_000  # a range this small is sorted directly
+KEY_BYTES = 2  # per pass; at most 65 536 counts per range
 NOT_UNIQUE = "the key is not unique; keep the latest row per key first"
 
 
@@ -35,7 +36,7 @@ class _Search:
     lo: int
     hi: int
     rows: int
-    prefix: str = ""
+    prefix: bytes = b""
     may_share: bool = True
     single_key: bool = False
 
@@ -69,8 +70,7 @@ def cut_at_ranks(
     Each pass counts rows in at most `BINS` equal time bins per open range and
     keeps the bin that holds the rank, so a pass shuffles bin counts, not rows,
     and later passes filter on the time column. A range that is one instant with
-    very many rows is narrowed on leading characters of the key in the same way;
-    the driver then sees one row per different character.
+    very many rows is narrowed on leading bytes of the key in the same way.
     Only a range of at most `EDGE_ROWS` rows is ever sorted.
     """
     size = size or extent(df, time, key)
@@ -95,7 +95,12 @@ def cut_at_ranks(
 def _inside(s: _Search) -> Column:
     lo, hi = (F.timestamp_micros(F.lit(x)) for x in (s.lo, s.hi))
     cond = F.col("_t").between(lo, hi)
-    return cond & F.col("_k").startswith(s.prefix) if s.prefix else cond
+    return cond & F.startswith(_key_bytes(), F.lit(s.prefix)) if s.prefix else cond
+
+
+def _key_bytes() -> Column:
+    """Text sorts by its bytes."""
+    return F.col("_k").cast("binary")
 
 
 def _ranges(searches):
@@ -108,10 +113,11 @@ def _in_any(ranges) -> Column:
 
 
 def _by_range(ranges, value=None) -> Column:
-    """Number of the range a row is in, or `value(range)` for it."""
-    out = F.lit(None)
-    for i, r in enumerate(ranges):
-        out = F.when(_inside(r), value(r) if value else F.lit(i)).otherwise(out)
+    """For rows known to be in one of the ranges: its number, or `value(range)`."""
+    values = [value(r) if value else F.lit(i) for i, r in enumerate(ranges)]
+    out = values[-1]
+    for r, v in zip(ranges[:-1], values[:-1]):
+        out = F.when(_inside(r), v).otherwise(out)
     return out
 
 
@@ -129,17 +135,17 @@ def _narrow_time(keyed: DataFrame, searches) -> None:
 
 
 def _narrow_key(keyed: DataFrame, searches) -> None:
-    """Keep the next key character that holds the rank."""
+    """Keep the next key bytes that hold the rank."""
     _skip_shared_prefix(keyed, [s for s in searches if s.may_share])
     searches = [s for s in searches if not s.single_key]
 
-    def next_char(r):
-        return F.substring("_k", len(r.prefix) + 1, 1)
+    def next_bytes(r):
+        return F.substring(_key_bytes(), len(r.prefix) + 1, KEY_BYTES)
 
-    for s, parts in _count_parts(keyed, searches, next_char):
-        char = _take(s, parts).part
-        s.prefix += char
-        s.single_key = char == ""
+    for s, parts in _count_parts(keyed, searches, next_bytes):
+        found = bytes(_take(s, parts).part)
+        s.prefix += found
+        s.single_key = len(found) < KEY_BYTES  # the key ends here
         s.may_share = len(parts) == 1
 
 
@@ -157,7 +163,7 @@ def _skip_shared_prefix(keyed: DataFrame, searches) -> None:
     shared = {r.where: (row[f"first_{i}"], row[f"last_{i}"]) for i, r in enumerate(ranges)}
     for s in searches:
         first, last = shared[s.where]
-        s.prefix = commonprefix([first, last])
+        s.prefix = commonprefix([first.encode(), last.encode()])
         s.single_key = first == last
         s.may_share = False
 
@@ -174,7 +180,7 @@ def _count_parts(keyed: DataFrame, searches, part, bounds=()):
         .collect()
     )
     parts = {r.where: [] for r in ranges}
-    for c in sorted(counted, key=lambda c: c.part):
+    for c in sorted(counted, key=lambda c: c.part):  # numbers, or bytes
         parts[ranges[c["range"]].where].append(c)
     return [(s, parts[s.where]) for s in searches]
 

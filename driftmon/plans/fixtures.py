@@ -30,13 +30,14 @@ def _padded(col: str, width: int) -> Column:
 
 def sea_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as unlabelled points; the id sorts like the columns it is made of."""
+    day = F.year("l_shipdate") * 10000 + F.month("l_shipdate") * 100 + F.day("l_shipdate")
     key = F.concat_ws(
         "-",
         _padded("l_orderkey", 12),
         _padded("l_linenumber", 2),
         _padded("l_partkey", 11),
         _padded("l_suppkey", 10),
-        F.date_format("l_shipdate", "yyyyMMdd"),
+        day.cast("string"),
     )
     mix = (
         F.col("l_orderkey") * 7
