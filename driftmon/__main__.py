@@ -5,7 +5,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from driftmon.functions.codec import decode, has_key, random_id
+from driftmon.functions.codec import decode, has_key, random_id, round_number
 from driftmon.plans import jobs, models, runs
 from driftmon.schemas import FEATURES, RECORD
 from driftmon.session import pin
@@ -41,7 +41,9 @@ def produce(spark, args, store):
     """The next slice of a drift file as records, to the topic or to a folder."""
     rows = take_slice(read_arff(spark, drift_path(args.source, args.drift)), args.cursor, args.size)
     records = rows.select(
-        random_id().alias("id"), F.current_timestamp().alias("timestamp"), *FEATURES, "label"
+        random_id().alias("id"),
+        F.current_timestamp().alias("timestamp"),
+        *[round_number(c).alias(c) for c in [*FEATURES, "label"]],
     )
     if args.servers:
         options = {"kafka.bootstrap.servers": args.servers, "topic": args.topic}

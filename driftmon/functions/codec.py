@@ -16,8 +16,7 @@ def iso_text(ts) -> Column:
 
 def round_number(value, places: int = 3) -> Column:
     """Text or number to double at a fixed number of decimals; dirty text gives null."""
-    col = F.col(value) if isinstance(value, str) else value
-    return F.round(col.try_cast("double"), places)
+    return F.round(number(value), places)
 
 
 def uuid_from(*cols) -> Column:
@@ -86,7 +85,13 @@ def to_store(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*cols)
 
 
+def number(value) -> Column:
+    """Text or number to double; dirty text gives null."""
+    col = F.col(value) if isinstance(value, str) else value
+    return col.try_cast("double")
+
+
 def features_from_text(parts: Column) -> list[Column]:
-    """Three features and the label from an array of text fields, at 3 decimals."""
+    """Three features and the label from an array of text fields."""
     names = [*FEATURES, "label"]
-    return [round_number(F.trim(F.get(parts, F.lit(i)))).alias(n) for i, n in enumerate(names)]
+    return [number(F.trim(F.get(parts, F.lit(i)))).alias(n) for i, n in enumerate(names)]

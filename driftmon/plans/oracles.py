@@ -149,12 +149,10 @@ FROM sea WHERE "timestamp" < TIMESTAMP '2000-01-01'""",
 SELECT {RECORD} FROM sea WHERE "timestamp" >= TIMESTAMP '2000-01-01'""",
     "arff_scan": f"""WITH {SEA}
 SELECT row_number() OVER (ORDER BY "timestamp", id) - 1 AS idx,
-  round(feature_0, 3) AS feature_0, round(feature_1, 3) AS feature_1,
-  round(feature_2, 3) AS feature_2, label FROM sea""",
+  feature_0, feature_1, feature_2, label FROM sea""",
     "source_slice": f"""WITH {SEA}, placed AS (
   SELECT row_number() OVER (ORDER BY "timestamp", id) - 1 AS idx, * FROM sea)
-SELECT idx, round(feature_0, 3) AS feature_0, round(feature_1, 3) AS feature_1,
-  round(feature_2, 3) AS feature_2, label, idx // 10 AS slice FROM placed""",
+SELECT idx, feature_0, feature_1, feature_2, label, idx // 10 AS slice FROM placed""",
     "row_number_by_time": f"""WITH {EVENTS}
 SELECT id, "timestamp", label, row_number() OVER (ORDER BY "timestamp", id) AS row_num FROM ev""",
     "history_count": 'SELECT count(*) AS "rows" FROM events',

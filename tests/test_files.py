@@ -20,7 +20,7 @@ def test_arff_places_lines_across_splits(spark, folder):
     finally:
         spark.conf.set(key, old)
     assert [r.idx for r in rows] == list(range(500))
-    assert [r.feature_0 for r in rows] == [float(i) for i in range(500)]
+    assert [r.feature_0 for r in rows] == [float(f"{i}.0004") for i in range(500)]
     assert rows[3].label == 1.0
 
 
