@@ -77,10 +77,10 @@ def keep_rows(docs: DataFrame, keepers: DataFrame, doc_id: str, text: str) -> Da
     """
     raw = free(docs, "__raw")
     rows = docs.withColumn(raw, raw_hash(text))
-    on = F.col("k_id").eqNullSafe(F.col(f"d.`{doc_id}`")) & (F.col("k_raw") == F.col(f"d.`{raw}`"))
+    on = F.col("k.k_id").eqNullSafe(F.col(f"d.`{doc_id}`")) & (F.col("k.k_raw") == F.col(f"d.`{raw}`"))
 
     def among(k: DataFrame) -> DataFrame:
-        return rows.alias("d").join(k.select("k_id", "k_raw"), on, "left_semi")
+        return rows.alias("d").join(k.select("k_id", "k_raw").alias("k"), on, "left_semi")
 
     once = among(keepers.where("k_same = 1"))
     again = among(keepers.where("k_same > 1")).dropDuplicates([doc_id, raw])

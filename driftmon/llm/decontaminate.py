@@ -20,7 +20,7 @@ the id. Rows of documents may repeat; other columns are left as they are.
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import repeat
 from string import punctuation
 
@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftmon.llm.common import free, whole
+from driftmon.llm.common import whole
+from driftmon.session import written
 
 SHARE = 0.2  # edits allowed, as a share of the item's words
 ROUNDS, SAMPLES = 10, 6  # repetitions of the embedding; outputs that must agree in one
@@ -173,7 +174,7 @@ class Block:
         return (edits, a + start, a + end) if edits <= most else None
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _block(*made_of) -> Block:
     return Block(*made_of)
 
@@ -286,33 +287,42 @@ def matches(text: str, block: Block) -> Column:
     return held(whole(text))
 
 
-def find_passages(
+def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
     share: float = SHARE,
     rounds: int = ROUNDS,
     samples: int = SAMPLES,
+    doc_id: str = "doc_id",
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
-    into: str = "passages",
 ) -> DataFrame:
-    """`docs` with a column of the benchmark items each document holds."""
-    out, columns = docs, []
-    for block in blocks(benchmark, share, rounds, samples, item_id, item_text):
-        columns.append(free(out, "__held"))
-        out = out.withColumn(columns[-1], matches(text, block))
-    return out.withColumn(into, F.concat(*map(F.col, columns))).drop(*columns)
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per document and item it holds: doc_id, item_id, edits, item_words, start, end (in words)."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
-    found = find_passages(rows, benchmark, text="body").select("doc_id", F.explode("passages").alias("p"))
-    return found.select("doc_id", "p.*")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    found = [
+        rows.select("doc_id", F.explode(matches("text", block)).alias("p")).select("doc_id", "p.*")
+        for block in blocks(benchmark, share, rounds, samples, item_id, item_text)
+    ]
+    return reduce(DataFrame.unionByName, found)
+
 
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    share: float = SHARE,
+    rounds: int = ROUNDS,
+    samples: int = SAMPLES,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+) -> DataFrame:
+    """`docs` without the documents that hold a benchmark item, all columns as they were.
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` without the documents that hold a benchmark item, all columns as they were."""
-    into = free(docs, "__passages")
-    return find_passages(docs, benchmark, text=text, into=into).where(F.size(into) == 0).drop(into)
+    A further block meets what the earlier ones left, from a written table, so that a task
+    never holds two of them.
+    """
+    out = None
+    for block in blocks(benchmark, share, rounds, samples, item_id, item_text):
+        out = (docs if out is None else written(out, "clean")).where(F.size(matches(text, block)) == 0)
+    return out

@@ -36,7 +36,8 @@ BASE = {
 KINDS = [*BASE, "jwt", "der", "ssh"]
 _WORDS = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
-_BLOCK = re.compile(r"(?:[A-Za-z0-9+/_-]{40,}(?:\\n|\s)*)+={0,2}")
+_BLOCK = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}(?:(?:\\n|\r?\n)[ \t]*[A-Za-z0-9+/]+={0,2})*")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 _GAPS = re.compile(r"\\n|\s")
 SSH_MAGIC = b"openssh-key-v1\0"
@@ -51,6 +52,27 @@ def decoded(block: str) -> bytes | None:
         return None
 
 
+def blocks(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, content) of what may be base64, on one line or on lines of one length
+    with a shorter last one; each reading of where it ends is given."""
+    for m in _BLOCK.finditer(text):
+        first, ends = m.group(), []
+        if first[0] not in "Mb":  # a DER key begins with a sequence, an SSH key with its magic
+            continue
+        whole_lines = None
+        for line in _LINE.finditer(first.replace("\\n", "\n\n")):
+            size = line.end() - line.start()
+            whole_lines = whole_lines or size
+            if size <= whole_lines:
+                ends.append(line.end())
+            if size != whole_lines:
+                break
+        for end in ends[:-3:-1]:
+            data = decoded(first[:end])
+            if data:
+                yield m.start(), m.start() + end, data
+
+
 def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
     """(tag, content) of the values that fill `data` exactly, or None."""
     out, at = [], 0
@@ -132,15 +154,13 @@ def spans(text: str) -> list[tuple[str, int, int]]:
         found += [(kind, *m.span()) for m in pattern.finditer(text) if good(m)]
     if "eyJ" in text:
         found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m.group(1), m.group(2))]
-    # A DER key begins with a long sequence, an SSH key with its magic: both show in base64.
-    for m in _BLOCK.finditer(text):
-        block = m.group().rstrip()
-        data = decoded(block) if block[0] in "Mb" else None
-        if data and is_der_key(data):
-            found.append(("der", m.start(), m.start() + len(block)))
-        elif data and is_ssh_key(data):
-            found.append(("ssh", m.start(), m.start() + len(block)))
-    found += [("der", *m.span()) for m in _HEX.finditer(text) if m.group()[:2] == "30" and is_der_key(bytes.fromhex(m.group()))]
+    for start, end, data in blocks(text):
+        kind = "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
+        if kind and (kind, start) not in {f[:2] for f in found}:
+            found.append((kind, start, end))
+    for m in _HEX.finditer(text):
+        if m.group().startswith("30") and is_der_key(bytes.fromhex(m.group())):
+            found.append(("der", *m.span()))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

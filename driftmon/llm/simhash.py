@@ -66,7 +66,7 @@ class Anchors:
     """Home and nearby anchors of fingerprints, block by block."""
 
     def __init__(self, max_bits: int = MAX_BITS):
-        self.blocks = max_bits // 2 + 1  # so one block differs by at most one bit
+        self.blocks = max(3, max_bits // 2 + 1)  # so one block differs by at most one bit
         if not 0 <= max_bits or 64 // self.blocks < CODED:
             raise ValueError("the bit limit must be from 0 to 7")
         cuts = np.linspace(0, 64, self.blocks + 1).astype(int)

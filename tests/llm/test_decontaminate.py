@@ -1,0 +1,89 @@
+import random
+
+import numpy as np
+import pytest
+
+from driftmon.llm import decontaminate as dc
+from driftmon.llm.queries import op3_decontaminate
+from tests.llm.conftest import WORDS, prose
+
+
+def distance(item, words):
+    """Fewest edits between the item and any stretch of the words."""
+    row = [0] * (len(words) + 1)
+    for i, a in enumerate(item, 1):
+        new = [i]
+        for j, b in enumerate(words, 1):
+            new.append(min(row[j - 1] + (a != b), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_nearest_equals_brute_force():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        item, part = rng.integers(0, 4, rng.integers(1, 9)), rng.integers(0, 4, rng.integers(1, 14))
+        edits, start, end = dc.nearest(item, part)
+        assert edits == distance(list(item), list(part))
+        assert distance(list(item), list(part[start:end])) == edits
+
+
+def test_query_equals_brute_force(spark, sf_dir, given):
+    """Every match holds, and every document that holds an item word for word is found."""
+    docs = {d: dc.words_of(t or "") for d, t in given("documents", "doc_id, text")}
+    items = {i: dc.words_of(t) for i, t in given("benchmark", "item_id, text")}
+    got = op3_decontaminate(spark, sf_dir).collect()
+    for r in got:
+        part = docs[r.doc_id][r.start : r.end]
+        assert distance(items[r.item_id], part) == r.edits <= dc.SHARE * r.item_words
+    joined = {d: b" " + b" ".join(w) + b" " for d, w in docs.items()}
+    held = {(d, i) for d, w in joined.items() for i, item in items.items() if b" " + b" ".join(item) + b" " in w}
+    assert held and held <= {(r.doc_id, r.item_id) for r in got}
+
+
+def edited(words, edits, rng):
+    words = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = rng.choice([words[at] + "x", "", words[at] + " then", rng.choice(WORDS)])
+    return " ".join(w for w in words if w)
+
+
+@pytest.mark.parametrize("share, least", [(0.0, 1.0), (0.08, 0.99), (0.16, 0.96)])
+def test_recall_against_brute_force(spark, share, least):
+    rng = random.Random(4)
+    items = [prose(rng.randrange(8, 70), 100 + i) for i in range(40)]
+    rows = []
+    for d in range(300):
+        k = rng.randrange(len(items))
+        words = items[k].split()
+        body = edited(words, int(share * len(words)), rng)
+        rows.append((d, f"{prose(rng.randrange(30), d)} qq {body} qq {prose(20, d + 1000)}", k))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k long")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()}
+    want = {(d, k) for d, t, k in rows if distance(dc.words_of(items[k]), dc.words_of(t)) <= int(dc.SHARE * len(dc.words_of(items[k])))}
+    assert len(want & got) >= least * len(want)
+
+
+def test_odd_rows(spark, odd, none):
+    bench = spark.createDataFrame(
+        [(1, "Alpha beta gamma DELTA!"), (2, None), (3, ""), (4, "word"), (4, "word"), (5, prose(60, 5))],
+        "item_id long, text string",
+    )
+    got = sorted((r.doc_id or 0, r.item_id) for r in dc.contaminated(odd, bench).collect())
+    assert got == sorted([(1, 1), (2, 1), *[(9, 4)] * 4, (11, 5), (12, 5)])
+    kept = dc.drop_contaminated(odd, bench)
+    assert kept.columns == odd.columns
+    assert kept.count() == odd.count() - 6
+    assert dc.contaminated(none, bench).count() == 0
+    nothing = bench.where("false")
+    assert dc.contaminated(odd, nothing).count() == 0
+    assert dc.drop_contaminated(odd, nothing).count() == odd.count()
+
+
+def test_many_blocks_find_the_same(spark, monkeypatch):
+    items = [(i, prose(20, i)) for i in range(30)]
+    docs = spark.createDataFrame([(i, f"{prose(9, 99)} {t}") for i, t in items], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(dc, "BLOCK_WORDS", 200)
+    assert {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()} >= {(i, i) for i, _ in items}
