@@ -5,22 +5,24 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from driftmon import storage
 from driftmon.functions.codec import decode, has_key, random_id, round_number
 from driftmon.plans import jobs, models, runs
-from driftmon.schemas import FEATURES, RECORD
+from driftmon.schemas import AUC_THRESHOLD, FEATURES, RECORD
 from driftmon.session import pin
-from driftmon.sources.files import drift_path, read_arff, read_csv, take_slice
-from driftmon.sources.keyed import create_tables, last_batch, read_table, write_batch
+from driftmon.sources.files import drift_path, read_arff, take_slice
+from driftmon.sources.keyed import create_views, last_batch, read_table
 from driftmon.sources.streams import TOPIC, kafka_options, read_stream, write_records
-from driftmon.streaming.ingest import start_ingest
-from driftmon.streaming.monitor import start_monitor
+from driftmon.streaming.ingest import start_ingest, start_rejects
+from driftmon.streaming.monitor import LateRows, start_monitor
 
 
 def messages(spark, args):
     if args.servers:
         options = kafka_options(args.servers, args.topic, args.per_trigger)
         return read_stream(spark, "kafka", **options)
-    return read_stream(spark, "text", args.source)
+    options = {"maxFilesPerTrigger": str(args.per_trigger)} if args.per_trigger else {}
+    return read_stream(spark, "text", args.source, **options)
 
 
 def trigger(args):
@@ -34,12 +36,21 @@ def stream(spark, args, store):
         store.rejects,
         store.path("offsets/ingest"),
         trigger=trigger(args),
+        uuid_ids=args.uuid_ids,
     ).awaitTermination()
+    create_views(spark, store.root, args.database)
 
 
 def produce(spark, args, store):
-    """The next slice of a drift file as records, to the topic or to a folder."""
-    rows = take_slice(read_arff(spark, drift_path(args.source, args.drift)), args.cursor, args.size)
+    """The next slice of a drift file as records, to the topic or to a folder.
+
+    The file is parsed and numbered once, on the first call.
+    """
+    indexed = store.path(f"indexed/drift-{args.drift}")
+    if not storage.exists(spark, f"{indexed}/_SUCCESS"):
+        rows = read_arff(spark, drift_path(args.source, args.drift))
+        rows.write.mode("overwrite").parquet(indexed)
+    rows = take_slice(spark.read.parquet(indexed), args.cursor, args.size)
     records = rows.select(
         random_id().alias("id"),
         F.current_timestamp().alias("timestamp"),
@@ -53,45 +64,69 @@ def produce(spark, args, store):
 
 
 def load(spark, args, store):
-    """History from CSV as batch 0; lines without a key are left out, later lines win."""
-    create_tables(spark, store.root, args.database)
-    rows = read_csv(spark, args.source, RECORD).withColumn("_row", F.monotonically_increasing_id())
-    write_batch(rows.where(has_key()), store.history, 0, RECORD, order=["_row"])
+    jobs.load_history(spark, args.source, store)
+    create_views(spark, store.root, args.database)
 
 
 def train(spark, args, store):
-    up_to = last_batch(spark, store.history, RECORD)
+    up_to = last_batch(spark, store.history)
     history = read_table(spark, store.history, RECORD, up_to=up_to)
-    print(jobs.train(spark, history, store))
+    print(jobs.train(spark, history, store, args.kind))
+
+
+def baseline(spark, args, store):
+    """The newest train run that measured the metric of this kind of model."""
+    trained = runs.read_runs(spark, store.runs).where("kind = 'train'")
+    usable = runs.latest_usable_run(trained, jobs.METRIC[args.kind])
+    return runs.require(usable, "usable train run").asDict()
 
 
 def test(spark, args, store):
+    base = baseline(spark, args, store)
     log = runs.read_runs(spark, store.runs)
-    trained = log.where("kind = 'train'")
-    base = runs.require(runs.latest_usable_run(trained), "usable train run").asDict()
     batch = log.where("kind = 'test'").count()
-    up_to = last_batch(spark, store.stream, RECORD)
-    table = read_table(spark, store.stream, RECORD, jobs.promoted_up_to(log), up_to)
-    print(jobs.test(spark, table, base, store, batch))
+    mark, up_to = jobs.promoted_up_to(log), last_batch(spark, store.stream)
+    if up_to is None or (mark is not None and up_to <= mark):
+        print("nothing to test")
+        return
+    table = read_table(spark, store.stream, RECORD, mark, up_to)
+    print(jobs.run_test(spark, table, base, store, batch, args.kind))
+    create_views(spark, store.root, args.database)
 
 
 def cycle(spark, args, store):
-    print(jobs.run_cycle(spark, store))
+    print(jobs.run_cycle(spark, store, args.kind))
+    create_views(spark, store.root, args.database)
 
 
 def monitor(spark, args, store):
-    log = runs.read_runs(spark, store.runs).where("kind = 'train'")
-    base = runs.require(runs.latest_usable_run(log), "usable train run")
-    records = decode(messages(spark, args)).where(has_key())
-    scored = models.score(models.load(base["artifact_uri"]), records)
-    start_monitor(
+    """Verdicts by window; records that cannot be scored go to rejects of their own."""
+    base = baseline(spark, args, store)
+    records = decode(messages(spark, args))
+    good = has_key() & models.complete()
+    scored = models.score(models.load(base["artifact_uri"]), records.where(good))
+    late = LateRows()
+    spark.streams.addListener(late)
+    rejects = start_rejects(
+        records.where(~good),
+        store.path("unscored"),
+        store.path("offsets/unscored"),
+        trigger(args),
+    )
+    query = start_monitor(
         scored,
         base["auc"],
         store.path("windows"),
         store.path("offsets/monitor"),
         args.width,
-        trigger=trigger(args),
-    ).awaitTermination()
+        args.late,
+        args.threshold,
+        trigger(args),
+    )
+    query.awaitTermination()
+    rejects.awaitTermination() if args.once else rejects.stop()
+    print(f"{late.counts.get(query.id, 0)} late rows")
+    spark.streams.removeListener(late)
 
 
 JOBS = {f.__name__: f for f in (stream, produce, load, train, test, cycle, monitor)}
@@ -104,11 +139,17 @@ def parse(argv=None):
     parser.add_argument("--source", help="CSV file, folder of drift files, or message folder")
     parser.add_argument("--servers", help="Kafka bootstrap servers; without it text files are used")
     parser.add_argument("--topic", default=TOPIC)
-    parser.add_argument("--per-trigger", type=int, help="records per micro-batch at most")
+    parser.add_argument(
+        "--per-trigger", type=int, help="messages, or files of messages, per micro-batch at most"
+    )
+    parser.add_argument("--kind", choices=jobs.METRIC, default="classifier")
+    parser.add_argument("--uuid-ids", action="store_true", help="reject ids that are no UUID")
     parser.add_argument("--drift", type=int, default=1, help="drift type 1 to 4")
     parser.add_argument("--cursor", type=int, default=0)
     parser.add_argument("--size", type=int, default=1)
     parser.add_argument("--width", default="1 day", help="monitor window")
+    parser.add_argument("--late", default="10 minutes", help="monitor waits so long for records")
+    parser.add_argument("--threshold", type=float, default=AUC_THRESHOLD)
     parser.add_argument("--database", default="default")
     parser.add_argument("--once", action="store_true", help="stream what is there, then stop")
     return parser.parse_args(argv)

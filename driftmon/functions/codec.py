@@ -58,9 +58,15 @@ def has_key(key=KEY) -> Column:
     return cond
 
 
-def split_rejects(decoded: DataFrame, key=KEY) -> tuple[DataFrame, DataFrame]:
-    """Rows with a full key, and the rest."""
-    return decoded.where(has_key(key)), decoded.where(~has_key(key))
+def split_rejects(
+    decoded: DataFrame, key=KEY, uuid_ids: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Rows a keyed table takes, and the rest. With `uuid_ids` the first key column must be
+    a UUID, as a store that types its ids so would demand."""
+    good = has_key(key)
+    if uuid_ids:
+        good = good & F.coalesce(is_uuid(key[0]), F.lit(False))
+    return decoded.where(good), decoded.where(~good)
 
 
 def is_uuid(col) -> Column:

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftmon.session import small, written
+from driftmon.session import written
 
 CHUNK_BITS = 20  # rows numbered together: about a million
 
@@ -43,7 +43,7 @@ def row_numbers(df: DataFrame, order, by=(), name: str = "row_num") -> DataFrame
     carried = F.when(F.col("_pos") < F.col("_rows"), F.col("_carried"))
     return (
         placed.withColumn("_local", local)
-        .join(small(heads), "_chunk", "left")
+        .join(heads, "_chunk", "left")
         .withColumn(name, F.col("_local") + F.coalesce(carried, F.lit(0)))
         .drop("_at", "_chunk", "_pos", "_rows", "_carried", "_local")
     )

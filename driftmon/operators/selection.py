@@ -27,6 +27,12 @@ class Cut:
         # even where the key is a computed column.
         return (t <= at) & ((t < at) | ((t == at) & (F.col(key) <= F.lit(self.key))))
 
+    def after(self, time: str = "timestamp", key: str = "id") -> Column:
+        """The other rows; said so that it reaches the scan as well."""
+        at = F.timestamp_micros(F.lit(self.micros))
+        t = F.col(time)
+        return (t >= at) & ((t > at) | ((t == at) & (F.col(key) > F.lit(self.key))))
+
 
 @dataclass
 class _Search:

@@ -12,24 +12,32 @@ def split_rank(rows: int, fraction: float = TRAIN_FRACTION) -> int:
     return int(rows * fraction)
 
 
+def train_cut(
+    df: DataFrame, fraction: float = TRAIN_FRACTION, time: str = "timestamp", key: str = "id"
+) -> Cut | None:
+    """The last of the earliest `int(n * fraction)` rows, if there are any."""
+    size = extent(df, time, key)
+    rank = split_rank(size.rows, fraction)
+    return cut_at_ranks(df, [rank], time, key, size)[0] if rank >= 1 else None
+
+
 def train_part(
     df: DataFrame, fraction: float = TRAIN_FRACTION, time: str = "timestamp", key: str = "id"
 ) -> Column:
     """True for the earliest `int(n * fraction)` rows in (time, key) order."""
-    size = extent(df, time, key)
-    rank = split_rank(size.rows, fraction)
-    if rank < 1:
-        return F.lit(False)
-    return cut_at_ranks(df, [rank], time, key, size)[0].covers(time, key)
+    cut = train_cut(df, fraction, time, key)
+    return cut.covers(time, key) if cut else F.lit(False)
 
 
 def chrono_split(
     df: DataFrame, fraction: float = TRAIN_FRACTION, time: str = "timestamp", key: str = "id"
 ) -> tuple[DataFrame, DataFrame]:
     """Earlier and later part; rows without a full key are in neither."""
-    early = train_part(df, fraction, time, key)
+    cut = train_cut(df, fraction, time, key)
     whole = df.where(F.col(time).isNotNull() & F.col(key).isNotNull())
-    return whole.where(early), whole.where(~early)
+    if cut is None:
+        return whole.where(F.lit(False)), whole
+    return whole.where(cut.covers(time, key)), whole.where(cut.after(time, key))
 
 
 def block_cuts(df: DataFrame, blocks: int, time: str = "timestamp", key: str = "id") -> list[Cut]:

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from driftmon.functions.rules import auc_drift, rmse_drift
 from driftmon.schemas import AUC_THRESHOLD, PANEL_ROWS, RMSE_FACTOR
-from driftmon.session import small
+
+ALERT_MESSAGE = "drift: the metric left its allowed range"
 
 
 def stamp(scored: DataFrame, train_auc, test_auc, drift) -> DataFrame:
@@ -21,7 +22,7 @@ def stamp(scored: DataFrame, train_auc, test_auc, drift) -> DataFrame:
 
 def stamp_by(scored: DataFrame, verdicts: DataFrame, on) -> DataFrame:
     """The verdict of its group on every scored row."""
-    return scored.join(small(verdicts), on)
+    return scored.join(verdicts, on)
 
 
 def _baseline(metrics: DataFrame, block: str, first, metric: str):
@@ -53,7 +54,7 @@ def rmse_verdicts(
 
 def alerts(verdicts: DataFrame) -> DataFrame:
     """One row per flagged verdict."""
-    return verdicts.where("drift").withColumn("message", F.lit("Potential Drift Detected"))
+    return verdicts.where("drift").withColumn("message", F.lit(ALERT_MESSAGE))
 
 
 def newest(df: DataFrame, *cols: str, rows: int = PANEL_ROWS) -> DataFrame:

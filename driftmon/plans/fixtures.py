@@ -8,7 +8,8 @@ from driftmon.operators.split import block_cuts, block_number
 # Zone-less timestamps are read as UTC instants, so comparisons reach the scan.
 COLUMNS = {
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-    "l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp",
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp",
     "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, "
     "value double, props string",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
@@ -17,6 +18,8 @@ COLUMNS = {
 
 # Concept thresholds of the four stream blocks, in order.
 THETA = [8.0, 9.0, 7.0, 9.5]
+# Largest quantity of the positive class in the four blocks of `steps`.
+STEPS = [25.0, 35.0, 25.0, 40.0]
 RECORD_COLUMNS = ["id", "timestamp", "feature_0", "feature_1", "feature_2", "label"]
 
 
@@ -66,6 +69,24 @@ def sea(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points whose label is one bound on a feature of few values, so that trees with enough
+    bins fit a block without error. The bound differs from block to block."""
+    points = sea_points(spark, sf_dir)
+    cuts = block_cuts(points, len(STEPS))
+    bound = F.element_at(F.array(*[F.lit(t) for t in STEPS]), F.col("blk").cast("int"))
+    quantity = F.round(F.col("feature_0") * 5)
+    return points.withColumn("blk", block_number(cuts)).select(
+        "id",
+        "timestamp",
+        quantity.alias("feature_0"),
+        F.round("feature_2").alias("feature_1"),
+        F.lit(1.0).alias("feature_2"),
+        (quantity <= bound).cast("double").alias("label"),
+        "blk",
+    )
+
+
 def hard_score() -> Column:
     """Deterministic classifier that knows the first block's concept."""
     return (F.col("feature_0") + F.col("feature_1") <= THETA[0]).cast("double")

@@ -5,7 +5,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftmon.schemas import BOOSTING_ROUNDS, FEATURES
@@ -40,11 +40,25 @@ def fit(train: DataFrame, kind: str = "classifier", by: str | int | None = None,
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add `prediction`, and for a classifier `score`, the raw margin of class 1."""
+    """Add `prediction`; for a classifier also `score`, the raw margin of class 1, and its
+    `probability`."""
     out = model.transform(df)
     if "rawPrediction" in out.columns:
-        out = out.withColumn("score", vector_to_array("rawPrediction")[1])
-    return out.drop("features", "rawPrediction", "probability")
+        out = out.withColumns(
+            {
+                "score": vector_to_array("rawPrediction")[1],
+                "probability": vector_to_array("probability")[1],
+            }
+        )
+    return out.drop("features", "rawPrediction")
+
+
+def complete() -> Column:
+    """True for rows with all features; the assembler fails on others."""
+    cond = F.lit(True)
+    for c in FEATURES:
+        cond = cond & F.col(c).isNotNull() & ~F.isnan(c)
+    return cond
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -1,6 +1,6 @@
 """The same results in plain SQL, for an independent engine on the same tables."""
 
-SEA = """
+POINTS = """
 points AS (
   SELECT lpad(CAST(l_orderkey AS VARCHAR), 12, '0')
       || '-' || lpad(CAST(l_linenumber AS VARCHAR), 2, '0')
@@ -14,7 +14,9 @@ points AS (
     (l_orderkey * 7 + l_partkey * 13 + l_suppkey * 3 + l_linenumber) % 10 = 0 AS noisy
   FROM lineitem),
 blocks AS (
-  SELECT *, ntile(4) OVER (ORDER BY "timestamp", id) AS blk FROM points),
+  SELECT *, ntile(4) OVER (ORDER BY "timestamp", id) AS blk FROM points)"""
+
+SEA = f"""{POINTS},
 concepts AS (
   SELECT *, feature_0 + feature_1 <= CASE blk WHEN 1 THEN 8.0::DOUBLE WHEN 2 THEN 9.0::DOUBLE
     WHEN 3 THEN 7.0::DOUBLE ELSE 9.5::DOUBLE END AS is_clean FROM blocks),
@@ -26,6 +28,17 @@ sea AS (
     -(feature_0 + feature_1) AS rank_score
   FROM concepts)"""
 
+STEPS = f"""{POINTS},
+bounded AS (
+  SELECT id, "timestamp", round(feature_0 * 5) AS feature_0, round(feature_2) AS feature_1,
+    1.0::DOUBLE AS feature_2, blk,
+    CASE blk WHEN 1 THEN 25 WHEN 2 THEN 35 WHEN 3 THEN 25 ELSE 40 END AS bound
+  FROM blocks),
+steps AS (
+  SELECT id, "timestamp", feature_0, feature_1, feature_2, blk,
+    CAST(feature_0 <= bound AS DOUBLE) AS label, CAST(feature_0 <= 25 AS DOUBLE) AS hard
+  FROM bounded)"""
+
 EVENTS = """
 ev AS (
   SELECT CAST(event_id AS VARCHAR) AS id, ts AS "timestamp", value AS feature_0,
@@ -73,21 +86,29 @@ areas AS (
   FROM totals)"""
 
 
-def _block_aucs(score: str) -> str:
-    return f"""{SEA},
-scored AS (SELECT blk, {score} AS score, label FROM sea),{_auc("scored", "blk")},
+def _block_aucs(score: str, points: str = SEA, table: str = "sea") -> str:
+    return f"""{points},
+scored AS (SELECT blk, {score} AS score, label FROM {table}),{_auc("scored", "blk")},
 verdicts AS (
   SELECT blk, (SELECT auc FROM areas WHERE blk = 1) AS train_auc, auc AS test_auc,
     abs(auc - (SELECT auc FROM areas WHERE blk = 1)) > 0.05::DOUBLE AS drift FROM areas)"""
 
 
-BLOCK_RMSE = f"""{SEA},
+def _block_rmse(points: str, table: str) -> str:
+    return f"""{points},
 errors AS (
-  SELECT blk, sqrt(avg((label - hard) * (label - hard))) AS rmse FROM sea GROUP BY blk),
+  SELECT blk, sqrt(avg((label - hard) * (label - hard))) AS rmse FROM {table} GROUP BY blk),
 verdicts AS (
   SELECT blk, (SELECT rmse FROM errors WHERE blk = 1) AS train_rmse, rmse AS test_rmse,
     rmse > (SELECT rmse FROM errors WHERE blk = 1) * 1.1::DOUBLE AS drift FROM errors)"""
 
+
+BLOCK_RMSE = _block_rmse(SEA, "sea")
+# The two streamed blocks of the cycle, judged together.
+STREAMED = f"""{STEPS},
+scored AS (SELECT hard AS score, label FROM steps WHERE blk IN (2, 3)),{_auc("scored")}"""
+CYCLED = 'SELECT id, "timestamp", feature_0, feature_1, feature_2, label FROM steps WHERE blk < 4'
+
 VERDICT_ROWS = f"""WITH {_block_aucs("hard")},
 rows_out AS (
   SELECT id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp",
@@ -95,8 +116,7 @@ rows_out AS (
   FROM sea JOIN verdicts USING (blk))"""
 
 LATEST_ITEMS = """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
-  l_discount, l_shipdate
+SELECT * EXCLUDE (version)
 FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
     ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS version FROM lineitem)
@@ -138,9 +158,22 @@ SELECT """
     "upsert_latest": LATEST_ITEMS,
     "table_scan_latest": LATEST_ITEMS,
     "clustered_newest_first": """
-SELECT event_id, user_id, ts,
-  row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS place FROM events""",
-    "csv_load": f"WITH {SEA} SELECT {RECORD} FROM sea",
+SELECT event_id, user_id, date_trunc('millisecond', ts) AS ts, TRUE AS in_order FROM events""",
+    "csv_load": f"WITH {SEA} SELECT "
+    + STORED.format(time='"timestamp"')
+    + " FROM sea WHERE NOT noisy",
+    "csv_rejects": f"""WITH {SEA}
+SELECT "timestamp", CAST(CAST(feature_1 AS FLOAT) AS DOUBLE) AS feature_1 FROM sea WHERE noisy""",
+    "catalog_latest": f"WITH {EVENTS} SELECT "
+    + STORED.format(time="date_trunc('millisecond', \"timestamp\")").replace(
+        ", label", ", CASE WHEN label = 1 THEN 2.0::DOUBLE ELSE label END AS label"
+    )
+    + " FROM ev",
+    "reject_bad_ids": f"""WITH {EVENTS}
+SELECT CASE WHEN label = 1 THEN id ELSE
+  substr(md5(id), 1, 8) || '-' || substr(md5(id), 9, 4) || '-' || substr(md5(id), 13, 4)
+  || '-' || substr(md5(id), 17, 4) || '-' || substr(md5(id), 21, 12) END AS id,
+  label <> 1 AS stored FROM ev""",
     "promote_test_to_train": f"""WITH {SEA}
 SELECT id, "timestamp", feature_0, feature_1, feature_2,
   CASE WHEN "timestamp" >= TIMESTAMP '1997-07-01' THEN label ELSE clean END AS label
@@ -152,10 +185,12 @@ SELECT row_number() OVER (ORDER BY "timestamp", id) - 1 AS idx,
   feature_0, feature_1, feature_2, label FROM sea""",
     "source_slice": f"""WITH {SEA}, placed AS (
   SELECT row_number() OVER (ORDER BY "timestamp", id) - 1 AS idx, * FROM sea)
-SELECT idx, feature_0, feature_1, feature_2, label, idx // 10 AS slice FROM placed""",
+SELECT idx, feature_0, feature_1, feature_2, label,
+  CASE WHEN idx < 10 THEN 0 WHEN idx < 1000 THEN 10 ELSE 1000 END AS slice FROM placed""",
     "row_number_by_time": f"""WITH {EVENTS}
 SELECT id, "timestamp", label, row_number() OVER (ORDER BY "timestamp", id) AS row_num FROM ev""",
-    "history_count": 'SELECT count(*) AS "rows" FROM events',
+    "history_count": """
+SELECT count(*) AS "rows", epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events""",
     "chrono_split": f"""WITH {SEA}
 SELECT id, "timestamp", row_number() OVER (ORDER BY "timestamp", id)
   <= CAST(floor((SELECT count(*) FROM points) * 0.7::DOUBLE) AS BIGINT) AS in_train
@@ -182,10 +217,9 @@ FROM sea""",
     "rmse_drift_by_block": f"""WITH {BLOCK_RMSE}
 SELECT blk, round(train_rmse, 9) AS train_rmse, round(test_rmse, 9) AS test_rmse, drift
 FROM verdicts""",
-    "rmse_conditional_rows": f"""WITH {BLOCK_RMSE}
-SELECT id, TIMESTAMP '2002-01-01 12:00:00' AS test_timestamp, label, hard AS prediction,
-  feature_0, feature_1, feature_2, "timestamp"
-FROM sea JOIN verdicts USING (blk) WHERE drift""",
+    "rmse_conditional_rows": f"""WITH {_block_rmse(STEPS, "steps")}
+SELECT id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp"
+FROM steps JOIN verdicts USING (blk) WHERE drift""",
     "verdict_table": f"{VERDICT_ROWS} SELECT * FROM rows_out",
     "verdict_retest": f"""WITH {_block_aucs("hard")}
 SELECT id, label, hard AS prediction, "timestamp",
@@ -201,7 +235,7 @@ SELECT "timestamp", CAST(drift AS INTEGER) AS drift FROM rows_out""",
     "panel_feature_series": f"""WITH {EVENTS}
 SELECT "timestamp", feature_0 FROM ev ORDER BY "timestamp" DESC, id LIMIT 100""",
     "alerts": f"""WITH {_block_aucs("hard")}
-SELECT *, 'Potential Drift Detected' AS message FROM verdicts WHERE drift""",
+SELECT *, 'drift: the metric left its allowed range' AS message FROM verdicts WHERE drift""",
     "latest_run": f"""WITH {RUN_LOG}
 SELECT run_id, start_time, status FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 1""",
     "latest_usable_run": f"""WITH {RUN_LOG}
@@ -212,6 +246,31 @@ SELECT count(DISTINCT start_time) AS runs FROM runs""",
     "retrain_gate": f"""WITH {RUN_LOG}
 SELECT model, count(DISTINCT start_time) AS runs, count(DISTINCT start_time) >= 3 AS ready
 FROM runs GROUP BY model""",
+    "run_log_roundtrip": f"""WITH {RUN_LOG}
+SELECT run_id, start_time, status, CASE WHEN isnan(auc) THEN -1 ELSE auc END AS auc FROM runs""",
+    "gbt_train_test": f"""WITH {_block_aucs("hard", STEPS, "steps")}
+SELECT blk, id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp",
+  train_auc, test_auc, drift FROM steps JOIN verdicts USING (blk)""",
+    "gbt_score": f"""WITH {STEPS}
+SELECT id, "timestamp", label, hard AS prediction, hard = 1 AS positive, hard = 1 AS likely,
+  1.0::DOUBLE AS train_auc FROM steps""",
+    "gbt_regressor": f"""WITH {_block_rmse(STEPS, "steps")}
+SELECT blk, round(train_rmse, 9) AS train_rmse, round(test_rmse, 9) AS test_rmse, drift,
+  0.0::DOUBLE AS stored_rmse FROM verdicts""",
+    "cycle_history": f"WITH {STEPS} {CYCLED}",
+    "cycle_verdicts": f"""WITH {STREAMED}
+SELECT id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp",
+  1.0::DOUBLE AS train_auc, CAST(CAST(auc AS FLOAT) AS DOUBLE) AS test_auc,
+  abs(auc - 1) > 0.05::DOUBLE AS drift
+FROM steps, areas WHERE blk IN (2, 3)""",
+    "rmse_cycle": f"WITH {STEPS} {CYCLED}".replace(
+        ", label FROM", ", label, 'promote:1,test:3,train:1' AS kinds FROM"
+    ),
+    "rmse_alerts": f"""WITH {STEPS}
+SELECT 'rmse' AS metric, 0.0::DOUBLE AS baseline,
+  round(sqrt(avg((label - hard) * (label - hard))), 6) AS measured,
+  'drift: the metric left its allowed range' AS message
+FROM steps, range(3) WHERE blk IN (2, 3) GROUP BY range""",
     "stream_ingest": f"WITH {EVENTS} SELECT "
     + STORED.format(time="date_trunc('millisecond', \"timestamp\")")
     + " FROM ev",

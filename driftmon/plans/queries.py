@@ -1,8 +1,9 @@
 """Every operator as a query over the shared tables."""
 
+import uuid
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
@@ -19,15 +20,25 @@ from driftmon.functions.codec import (
 from driftmon.operators import metrics, split, verdicts
 from driftmon.operators.latest import latest_per_key
 from driftmon.operators.ranking import row_numbers
+from driftmon.operators.selection import extent
 from driftmon.operators.verdicts import stamp_by
 from driftmon.plans import fixtures, jobs, models, runs
 from driftmon.plans.fixtures import RECORD_COLUMNS
-from driftmon.schemas import AUC_THRESHOLD, RECORD, RMSE_ROW, VERDICT
+from driftmon.schemas import (
+    ALERT,
+    AUC_THRESHOLD,
+    BATCH_SIZE,
+    RECORD,
+    RMSE_ROW,
+    STREAM_TABLE,
+    VERDICT,
+    WINDOW_VERDICT,
+)
 from driftmon.session import pin, work_path, written
-from driftmon.sources.files import read_arff, read_csv, slice_number
-from driftmon.sources.keyed import promote, read_table, write_batch
+from driftmon.sources.files import read_arff, take_slice
+from driftmon.sources.keyed import create_views, promote, read_table, scan_batches, write_batch
 from driftmon.sources.streams import read_stream, write_records
-from driftmon.streaming.ingest import start_ingest
+from driftmon.streaming.ingest import REJECT, ingest_batch, start_ingest
 from driftmon.streaming.monitor import start_monitor, window_counts, window_verdicts
 
 QUERIES = {}
@@ -121,16 +132,65 @@ def table_scan_latest(spark, sf_dir):
 
 @query
 def clustered_newest_first(spark, sf_dir):
-    events = fixtures.table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    return row_numbers(events, [F.desc("ts"), "event_id"], by=["user_id"], name="place")
+    """Inside each stored file the rows of a user follow one another, newest first."""
+    events = fixtures.table(spark, sf_dir, "events")
+    path = work_path(spark, "clustered")
+    write_batch(events, path, 0, events.schema, key=["user_id", "ts", "event_id"])
+    place = Window.partitionBy("_file", "user_id").orderBy("_row")
+    follows = (F.lag("_row").over(place) == F.col("_row") - 1) & (F.lag("ts").over(place) >= F.col("ts"))
+    return (
+        scan_batches(spark, path, events.schema)
+        .select("event_id", "user_id", "ts", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+        .select("event_id", "user_id", "ts", F.coalesce(follows, F.lit(True)).alias("in_order"))
+    )
+
+
+def _loaded(spark, sf_dir):
+    """History loaded from CSV in which some lines have lost their id."""
+    store = jobs.Store(work_path(spark, "store"))
+    sea = fixtures.sea(spark, sf_dir)
+    path = work_path(spark, "csv")
+    lines = sea.withColumn("id", F.when(~F.col("noisy"), F.col("id"))).select(*RECORD_COLUMNS)
+    lines.write.csv(path, header=True)
+    jobs.load_history(spark, path, store)
+    return store
 
 
 @query
 def csv_load(spark, sf_dir):
-    sea = fixtures.sea(spark, sf_dir).select(*RECORD_COLUMNS)
-    path = work_path(spark, "csv")
-    sea.write.csv(path, header=True)
-    return read_csv(spark, path, sea.schema)
+    return widened(read_table(spark, _loaded(spark, sf_dir).history, RECORD))
+
+
+@query
+def csv_rejects(spark, sf_dir):
+    raw = spark.read.schema(REJECT).parquet(_loaded(spark, sf_dir).rejects)
+    fields = F.from_csv("raw", RECORD.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "))
+    return widened(raw.select(fields.alias("r")).select("r.timestamp", "r.feature_1"))
+
+
+@query
+def catalog_latest(spark, sf_dir):
+    """The view over a registered table shows the newest row of every key."""
+    store = jobs.Store(work_path(spark, "store"))
+    events = fixtures.events(spark, sf_dir)
+    write_batch(events, store.stream, 0, RECORD)
+    write_batch(events.where("label = 1").withColumn("label", F.lit(2.0)), store.stream, 1, RECORD)
+    database = f"drift_{uuid.uuid4().hex}"
+    create_views(spark, store.root, database)
+    return widened(spark.table(f"{database}.{STREAM_TABLE}_latest"))
+
+
+@query
+def reject_bad_ids(spark, sf_dir):
+    """A store whose ids are UUIDs takes the records that have one; the others are rejected."""
+    events = fixtures.events(spark, sf_dir)
+    shaped = F.when(F.col("label") == 1, F.col("id")).otherwise(uuid_from("id"))
+    sent = encode(events.withColumn("id", shaped)).withColumn("_order", F.lit(0))
+    store = jobs.Store(work_path(spark, "store"))
+    ingest_batch(sent, 0, store.stream, store.rejects, uuid_ids=True)
+    good = read_table(spark, store.stream, RECORD).select("id", F.lit(True).alias("stored"))
+    bad = spark.read.schema(REJECT).parquet(store.rejects)
+    return good.union(bad.select(F.get_json_object("raw", "$.id"), F.lit(False)))
 
 
 @query
@@ -200,7 +260,13 @@ def arff_scan(spark, sf_dir):
 
 @query
 def source_slice(spark, sf_dir):
-    return _arff(spark, sf_dir).withColumn("slice", slice_number())
+    """Three slices taken from a cursor, which together are the whole file."""
+    rows = _arff(spark, sf_dir)
+    parts = [
+        take_slice(rows, at, size).withColumn("slice", F.lit(at).cast("long"))
+        for at, size in ((0, BATCH_SIZE), (BATCH_SIZE, 990), (BATCH_SIZE + 990, 1 << 40))
+    ]
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 # Ranks and splits
@@ -214,7 +280,8 @@ def row_number_by_time(spark, sf_dir):
 
 @query
 def history_count(spark, sf_dir):
-    return fixtures.events(spark, sf_dir).agg(F.count(F.lit(1)).alias("rows"))
+    size = extent(fixtures.events(spark, sf_dir))
+    return spark.createDataFrame([(size.rows, size.lo, size.hi)], "rows long, lo long, hi long")
 
 
 @query
@@ -299,11 +366,14 @@ def rmse_drift_by_block(spark, sf_dir):
 
 @query
 def rmse_conditional_rows(spark, sf_dir):
-    scored = _hard(spark, sf_dir)
-    flags = _rmse_verdicts(scored).select("blk", "drift")
-    run_time = F.to_timestamp(F.lit("2002-01-01 12:00:00"))
-    rows = stamp_by(scored, flags, "blk").where("drift").withColumn("test_timestamp", run_time)
-    return rows.select(*RMSE_ROW)
+    """Every block is tested; the rows of those with drift are stored."""
+    store = jobs.Store(work_path(spark, "store"))
+    steps = written(fixtures.steps(spark, sf_dir), "steps")
+    run = jobs.train(spark, steps.where("blk = 1"), store, "regressor", maxBins=EXACT_BINS)
+    for blk in range(1, len(fixtures.STEPS) + 1):
+        jobs.test_rmse(spark, steps.where(F.col("blk") == blk), run, store)
+    columns = [c for c in RMSE_ROW if c != "test_timestamp"]
+    return spark.read.parquet(store.drifted).select(*columns)
 
 
 def _verdict_rows(spark, sf_dir):
@@ -319,7 +389,7 @@ def verdict_table(spark, sf_dir):
 @query
 def verdict_retest(spark, sf_dir):
     """All blocks judged by a wide threshold, then the later two by the usual one."""
-    scored = _hard(spark, sf_dir)
+    scored = written(_hard(spark, sf_dir), "scored")
     measured = written(metrics.auc(scored, by=["blk"]), "measured")
     path = work_path(spark, "verdicts")
     for batch, threshold in ((0, 0.08), (1, AUC_THRESHOLD)):
@@ -368,35 +438,95 @@ def retrain_gate(spark, sf_dir):
     return runs.gate(fixtures.run_log(spark, sf_dir), by=["model"])
 
 
+@query
+def run_log_roundtrip(spark, sf_dir):
+    path = work_path(spark, "runs")
+    runs.log_runs(fixtures.run_log(spark, sf_dir), path)
+    log = runs.read_runs(spark, path).select("run_id", "start_time", "status", "auc")
+    return log.withColumn("auc", F.nanvl("auc", F.lit(-1.0)))
+
+
 # Models
 
+EXACT_BINS = 64  # a bin for every quantity
+
+
+def _steps(spark, sf_dir, kind="classifier"):
+    """Points, and the run of a model that was trained and saved on their first block."""
+    store = jobs.Store(work_path(spark, "store"))
+    steps = written(fixtures.steps(spark, sf_dir), "steps")
+    return steps, jobs.train(spark, steps.where("blk = 1"), store, kind, maxBins=EXACT_BINS)
+
 
-def _first_block(sea):
-    return sea.where("blk = 1").withColumn("label", F.col("clean"))
+def _scored(spark, sf_dir, kind="classifier"):
+    steps, run = _steps(spark, sf_dir, kind)
+    return written(models.score(models.load(run["artifact_uri"]), steps), "scored"), run
 
 
 @query
 def gbt_train_test(spark, sf_dir):
     """Train on the first block, score all blocks, stamp each with its verdict."""
-    store = jobs.Store(work_path(spark, "store"))
-    sea = written(fixtures.sea(spark, sf_dir), "sea").withColumn("label", F.col("clean"))
-    run = jobs.train(spark, _first_block(sea), store)
-    scored = written(models.score(models.load(run["artifact_uri"]), sea), "scored")
+    scored, _ = _scored(spark, sf_dir)
     return stamp_by(scored, _auc_verdicts(scored), "blk").select("blk", *VERDICT.names)
 
 
 @query
 def gbt_score(spark, sf_dir):
-    sea = written(fixtures.sea(spark, sf_dir), "sea")
-    model = models.fit(_first_block(sea))
-    return models.score(model, sea).select("id", "timestamp", "label", "prediction", "score")
+    """Predictions, the side of the margin and of the probability, and the AUC on the hold-out."""
+    scored, run = _scored(spark, sf_dir)
+    return scored.select(
+        "id",
+        "timestamp",
+        "label",
+        "prediction",
+        (F.col("score") > 0).alias("positive"),
+        (F.col("probability") > 0.5).alias("likely"),
+        F.lit(run["auc"]).alias("train_auc"),
+    )
 
 
 @query
 def gbt_regressor(spark, sf_dir):
-    sea = written(fixtures.sea(spark, sf_dir), "sea").withColumn("label", F.col("clean"))
-    model = models.fit(_first_block(sea), "regressor")
-    return _rmse_verdicts(models.score(model, sea))
+    scored, run = _scored(spark, sf_dir, "regressor")
+    out = _rmse_verdicts(scored).withColumn("stored_rmse", F.lit(run["rmse"]))
+    return out.withColumns({c: F.round(c, 9) for c in ("train_rmse", "test_rmse", "stored_rmse")})
+
+
+def _cycled(spark, sf_dir, kind):
+    """A store after a whole cycle: the first block is history, the next two were streamed."""
+    store = jobs.Store(work_path(spark, "store"))
+    steps = written(fixtures.steps(spark, sf_dir), "steps")
+    records = steps.select(*RECORD.names, "blk")
+    for path, batch, blk in ((store.history, 0, 1), (store.stream, 0, 2), (store.stream, 1, 3)):
+        write_batch(records.where(F.col("blk") == blk), path, batch, RECORD)
+    jobs.run_cycle(spark, store, kind, maxBins=EXACT_BINS)
+    return store
+
+
+@query
+def cycle_history(spark, sf_dir):
+    return widened(read_table(spark, _cycled(spark, sf_dir, "classifier").history, RECORD))
+
+
+@query
+def cycle_verdicts(spark, sf_dir):
+    return widened(read_table(spark, _cycled(spark, sf_dir, "classifier").verdicts, VERDICT))
+
+
+@query
+def rmse_cycle(spark, sf_dir):
+    """History after a cycle of the RMSE variant, with the kinds of run that led there."""
+    store = _cycled(spark, sf_dir, "regressor")
+    log = runs.read_runs(spark, store.runs).groupBy("kind").count().collect()
+    kinds = ",".join(sorted(f"{r['kind']}:{r['count']}" for r in log))
+    return widened(read_table(spark, store.history, RECORD)).withColumn("kinds", F.lit(kinds))
+
+
+@query
+def rmse_alerts(spark, sf_dir):
+    store = _cycled(spark, sf_dir, "regressor")
+    found = spark.read.schema(ALERT).parquet(store.alerts)
+    return found.select("metric", F.round("baseline", 9).alias("baseline"), F.round("measured", 6).alias("measured"), "message")
 
 
 # Streams
@@ -410,14 +540,23 @@ def _messages(spark, sf_dir):
 
 @query
 def stream_ingest(spark, sf_dir):
+    """Two deliveries with a restart between them, and a replay of the first batch."""
     store = jobs.Store(work_path(spark, "store"))
-    start_ingest(
-        _messages(spark, sf_dir),
-        store.stream,
-        store.rejects,
-        work_path(spark, "offsets"),
-        trigger={"availableNow": True},
-    ).awaitTermination()
+    events = fixtures.events(spark, sf_dir)
+    path, copy, offsets = (work_path(spark, n) for n in ("messages", "messages", "offsets"))
+    first = F.col("label") == 1
+    for part in (events.where(first), events.where(~first)):
+        write_records(part, "text", path)
+        start_ingest(
+            read_stream(spark, "text", path),
+            store.stream,
+            store.rejects,
+            offsets,
+            trigger={"availableNow": True},
+        ).awaitTermination()
+    write_records(events.where(first), "text", copy)
+    again = spark.read.text(copy).withColumn("_order", F.lit(0))
+    ingest_batch(again, 0, store.stream, store.rejects)
     return widened(read_table(spark, store.stream, RECORD))
 
 
@@ -428,4 +567,4 @@ def stream_monitor(spark, sf_dir):
     start_monitor(
         messages, 0.5, out, work_path(spark, "offsets"), trigger={"availableNow": True}
     ).awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.schema(WINDOW_VERDICT).parquet(out)

@@ -21,8 +21,14 @@ def new_run(kind: str, **fields) -> dict:
 
 
 def log_run(spark: SparkSession, path: str, run: dict) -> None:
-    row = spark.createDataFrame([tuple(run[c] for c in RUN.names)], RUN)
-    row.coalesce(1).write.mode("append").parquet(path)
+    log_runs(spark.createDataFrame([tuple(run[c] for c in RUN.names)], RUN).coalesce(1), path)
+
+
+def log_runs(runs: DataFrame, path: str) -> None:
+    """Append runs; columns the log has and they lack stay empty."""
+    have = set(runs.columns)
+    cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in RUN]
+    runs.select(*cols).write.mode("append").parquet(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -25,6 +25,7 @@ HISTORY_TABLE = "dataframe_train"
 STREAM_TABLE = "dataframe_test"
 VERDICT_TABLE = "drift_analysis"
 
+# Columns of the stored rows and records, in order.
 RMSE_ROW = [
     "id",
     "test_timestamp",
@@ -36,6 +37,7 @@ RMSE_ROW = [
     "timestamp",
 ]
 
+# Fixed values, as above.
 RECORD = StructType(
     [
         StructField("id", StringType()),
@@ -47,6 +49,7 @@ RECORD = StructType(
     ]
 )
 
+# Fixed values, as above.
 VERDICT = StructType(
     [
         StructField("id", StringType()),
@@ -83,8 +86,22 @@ ALERT = StructType(
     [
         StructField("run_id", StringType()),
         StructField("raised_at", TimestampType()),
+        StructField("metric", StringType()),
+        StructField("baseline", DoubleType()),
+        StructField("measured", DoubleType()),
+        StructField("message", StringType()),
+    ]
+)
+
+WINDOW_VERDICT = StructType(
+    [
+        StructField("window_start", TimestampType()),
+        StructField("window_end", TimestampType()),
+        StructField("pos", LongType()),
+        StructField("neg", LongType()),
+        StructField("dropped", LongType()),
         StructField("train_auc", DoubleType()),
         StructField("test_auc", DoubleType()),
-        StructField("message", StringType()),
+        StructField("drift", BooleanType()),
     ]
 )

@@ -4,21 +4,23 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000  # of a few numbers and short texts each
+from driftmon import storage
 
 _local_roots: dict[str, str] = {}
 
 
 def pin(spark: SparkSession) -> SparkSession:
-    """Records carry local times without a zone, so the zone must be fixed."""
+    """Records carry local times without a zone, so the session's zone is set, for good."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
 def work_root(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by `spark.checkpoint.dir`."""
+    """The folder every executor can reach, as named by `spark.checkpoint.dir`.
+
+    Only a local master may do without: it gets a temporary folder of its own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
@@ -50,16 +52,4 @@ def discard(spark: SparkSession, path: str) -> None:
     """Remove a work table that nothing reads any more; refuses paths outside the work folder."""
     if not path.startswith(f"{work_root(spark)}/driftmon/"):
         raise ValueError(f"{path} is not a work table")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` marked for broadcast if it has at most `rows` rows, else unchanged.
-
-    Unmarked, a join shuffles both sides and adaptive execution splits large keys.
-    """
-    found = df.limit(rows + 1).collect()
-    if len(found) > rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
+    storage.delete(spark, path)

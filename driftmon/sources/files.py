@@ -6,7 +6,7 @@ from pyspark.sql.types import StructType
 
 from driftmon.functions.codec import features_from_text
 from driftmon.schemas import BATCH_SIZE, RECORD
-from driftmon.session import small, written
+from driftmon.session import written
 
 # The stream files by drift type.
 DRIFT_FILES = {
@@ -18,8 +18,13 @@ DRIFT_FILES = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType = RECORD, **options) -> DataFrame:
-    """CSV with a header line; fields that do not parse become null."""
-    return spark.read.options(**options).csv(path, schema=schema, header=True, mode="PERMISSIVE")
+    """CSV with a header line; fields that do not parse become null.
+
+    A text column of the schema named `raw` gets the line where something did not parse.
+    """
+    return spark.read.options(**options).csv(
+        path, schema=schema, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="raw"
+    )
 
 
 def drift_path(folder: str, drift_type: int) -> str:
@@ -57,7 +62,7 @@ def read_arff(spark: SparkSession, path: str) -> DataFrame:
         "_block",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
-    return rows.join(small(starts), ["_file", "_block"]).select(
+    return rows.join(starts, ["_file", "_block"]).select(
         (F.col("_at") + F.col("_shift")).alias("idx"),
         *[c for c in rows.columns if not c.startswith("_")],
     )

@@ -3,13 +3,16 @@
 A table is a folder with one `batch_id=N` folder per write. Writing a batch again
 replaces its folder, so a replayed batch changes nothing. A later batch wins over an
 earlier one. The same key in one batch is settled before the write, so that reading
-only has to compare batch numbers.
+only has to compare batch numbers; every read does, whatever its bounds.
 """
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from driftmon import storage
 from driftmon.functions.codec import at_store_precision, to_store
 from driftmon.operators.latest import latest_per_key
 from driftmon.schemas import HISTORY_TABLE, KEY, RECORD, STREAM_TABLE, VERDICT, VERDICT_TABLE
@@ -27,13 +30,24 @@ def newest_first(df: DataFrame, key=KEY) -> DataFrame:
     return df.sortWithinPartitions(key[0], *[F.desc(c) for c in key[1:]])
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, schema: StructType, order=None, key=KEY):
+def write_batch(
+    df: DataFrame,
+    path: str,
+    batch_id: int,
+    schema: StructType,
+    order=None,
+    key=KEY,
+    settled: bool = False,
+):
     """Store `df` as batch `batch_id`, replacing an earlier try of the same batch.
 
     `order` names the columns that say which row of a key came last in this batch;
-    leave it out only when keys are unique already.
+    without it the largest row of a key stays. `settled` says that the rows come from
+    a keyed table, so that no key can repeat even at the precision of the store.
     """
-    if order:
+    if not settled:
+        values = [f.name for f in schema if f.name not in key]
+        order = order or values or list(key)
         cols = [f.name for f in schema] + [c for c in order if c not in schema.names]
         # Times that differ below store precision are one key in the store.
         cut = {c: at_store_precision(c) for c in key if c in schema.names and _is_time(schema, c)}
@@ -70,21 +84,21 @@ def read_table(
     up_to: int | None = None,
     key=KEY,
 ) -> DataFrame:
-    """The table as a store would show it: the newest version of every key.
-
-    Batches count from 0 and hold a key once, so bounds that leave a single batch
-    need no merge and no shuffle.
-    """
+    """The table as a store would show it: the newest version of every key."""
     versions = scan_batches(spark, path, schema, after, up_to)
-    first = 0 if after is None else after + 1
-    if up_to is not None and up_to == first:
-        return versions.drop(BATCH)
     return latest_per_key(versions, key, BATCH, drop_order=True)
 
 
-def last_batch(spark: SparkSession, path: str, schema: StructType) -> int | None:
-    """Highest batch number; reads folder names and file footers only."""
-    return scan_batches(spark, path, schema).agg(F.max(BATCH)).first()[0]
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    """Highest number of a finished batch; None for an empty or missing table.
+
+    Looks at folder names only. A batch counts once its folder has the success marker,
+    so a mark never covers rows that are still being written or replaced.
+    """
+    prefix = f"{BATCH}="
+    found = [n for n in storage.names(spark, path) if n.startswith(prefix)]
+    numbers = sorted((int(n.removeprefix(prefix)) for n in found), reverse=True)
+    return next((n for n in numbers if storage.exists(spark, f"{path}/{prefix}{n}/_SUCCESS")), None)
 
 
 def promote(
@@ -103,7 +117,7 @@ def promote(
     numbers follow the mark, which makes a repeated promotion overwrite itself.
     """
     moved = read_table(spark, stream_path, schema, after, up_to, key)
-    write_batch(moved, history_path, up_to + 1, schema, key=key)
+    write_batch(moved, history_path, up_to + 1, schema, key=key, settled=True)
     return up_to
 
 
@@ -122,3 +136,38 @@ def create_tables(spark: SparkSession, root: str, database: str = "default") ->
 def refresh_table(spark: SparkSession, name: str, database: str = "default") -> None:
     """Let the catalog see the batches written to a table since."""
     spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
+
+
+def create_views(spark: SparkSession, root: str, database: str = "default", key=KEY) -> None:
+    """Tables in the catalog, up to date, and `<table>_latest`: the newest row of every key."""
+    create_tables(spark, root, database)
+    for name, schema in TABLES.items():
+        storage.make_folder(spark, f"{root}/{name}")
+        refresh_table(spark, name, database)
+        keys = ", ".join(f"`{c}`" for c in key)
+        values = ", ".join(f"`{f.name}`" for f in schema if f.name not in key)
+        columns = ", ".join(f"`{f.name}`" if f.name in key else f"newest.`{f.name}`" for f in schema)
+        spark.sql(
+            f"CREATE OR REPLACE VIEW `{database}`.`{name}_latest` AS SELECT {columns} FROM ("
+            f"SELECT {keys}, max_by(struct({values}), {BATCH}) AS newest "
+            f"FROM `{database}`.`{name}` GROUP BY {keys})"
+        )
+
+
+def claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Refuse a stream whose batch numbers do not go on from those in the table.
+
+    Batches are numbered by the stream's checkpoint. A new checkpoint counts from 0 again
+    and would replace what another has written, or hide behind a promotion mark.
+    """
+    mine = stream_id(spark, checkpoint)
+    owner = storage.read_line(spark, f"{path}.stream")
+    held = any(n.startswith(f"{BATCH}=") for n in storage.names(spark, path))
+    if held and (mine is None or (owner is not None and owner != mine)):
+        raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The lasting id of the stream that a checkpoint belongs to."""
+    line = storage.read_line(spark, f"{checkpoint}/metadata")
+    return json.loads(line)["id"] if line else None

@@ -2,13 +2,39 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
+from driftmon import storage
 from driftmon.functions.rules import auc_drift
 from driftmon.operators.metrics import auc_from_counts, score_counts
 from driftmon.schemas import AUC_THRESHOLD
 from driftmon.sources.keyed import BATCH
 
 
+class LateRows(StreamingQueryListener):
+    """Counts, per query, what came after the watermark and was left out.
+
+    Rows of one window and score that a task reads together count once, as they reach the
+    state. Register it with `spark.streams.addListener` before the query starts.
+    """
+
+    def __init__(self):
+        self.counts: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        self.counts.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event):
+        key, late = str(event.progress.id), sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+        self.counts[key] = self.counts.get(key, 0) + late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def window_counts(scored: DataFrame, width: str, score: str = "score") -> DataFrame:
     """Score histogram per tumbling window; on a stream this is the whole state.
 
@@ -53,8 +79,10 @@ def start_monitor(
     """Write the verdict of each window once, when the watermark has passed its end.
 
     All score counts of a window leave the state in the same micro-batch, so its
-    AUC is computed from the complete window.
+    AUC is computed from the complete window. `out` can be read with the schema
+    `WINDOW_VERDICT` from the start. Rows later than the watermark are counted by `LateRows`.
     """
+    storage.make_folder(scored.sparkSession, out)
 
     def emit(counts: DataFrame, batch_id: int):
         counts = counts.persist()  # the state is read and stored once per batch

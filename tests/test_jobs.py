@@ -1,9 +1,11 @@
 import datetime as dt
 from glob import glob
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from driftmon import storage
 from driftmon.functions.codec import to_store
 from driftmon.plans import fixtures, jobs, models, runs
 from driftmon.schemas import RECORD, RUN, VERDICT
@@ -41,7 +43,7 @@ def test_train_and_test_by_block(spark, sea, store, trained):
     assert rows.where("drift").count() == sea.where("blk = 4").count()
     alert = spark.read.parquet(store.alerts).collect()
     assert [a.run_id for a in alert] == [moved["run_id"]]
-    assert alert[0].message == "Potential Drift Detected"
+    assert (alert[0].metric, alert[0].measured) == ("auc", moved["auc"])
 
 
 def test_training_is_repeatable(spark, sea, store, trained):
@@ -107,12 +109,64 @@ def test_single_class_history_is_noted(spark, sea, store):
 def test_rmse_variant_stores_rows_only_on_drift(spark, sea, store, folder):
     run = jobs.train(spark, sea.where("blk = 1"), store, kind="regressor")
     out = f"{folder}/rows"
+    assert not storage.exists(spark, store.alerts)
     assert jobs.test_rmse(spark, sea.where("blk = 4"), run, store, out, 2.0)["drift"]
     stored = spark.read.parquet(out)
     assert stored.count() == sea.where("blk = 4").count()
     assert not jobs.test_rmse(spark, sea.where("blk = 1"), run, store, out, 2.0)["drift"]
     assert spark.read.parquet(out).count() == stored.count()
     assert stored.select("test_timestamp").distinct().count() == 1
+    (alert,) = spark.read.parquet(store.alerts).collect()
+    assert (alert.metric, alert.baseline) == ("rmse", run["rmse"])
+
+
+def test_rmse_notes(spark, sea, store):
+    part = sea.where("blk = 1")
+    run = jobs.train(spark, part, store, kind="regressor")
+    label = F.when(F.col("feature_2") > 2, F.col("label"))
+    feature = F.when(F.col("feature_2") < 8, F.col("feature_0"))
+    dirty = part.withColumn("label", label).withColumn("feature_0", feature)
+    tested = jobs.test_rmse(spark, dirty, run, store)
+    unlabelled = dirty.where("label is null and feature_0 is not null").count()
+    incomplete = dirty.where("feature_0 is null").count()
+    assert tested["note"] == (
+        f"{unlabelled} rows without a label were not measured; "
+        f"{incomplete} rows with a missing feature were not scored"
+    )
+    none = jobs.test_rmse(spark, part.where("false"), run, store)
+    assert none["note"] == "no verdict: a metric is missing"
+
+
+def test_training_counts_what_it_leaves_out(spark, sea, store):
+    label = F.when(F.col("feature_2") > 1, F.col("label"))
+    part = sea.where("blk = 1").withColumn("label", label)
+    run = jobs.train(spark, part, store)
+    assert run["note"] == f"{part.where('label is null').count()} rows without a label were not used"
+    assert not glob(f"{work_root(spark)}/driftmon/history-*")
+
+
+def test_rmse_cycle(spark, sea, store):
+    records = sea.select(*RECORD.names)
+    write_batch(records.where(sea.blk == 1), store.history, 0, RECORD)
+    assert jobs.run_cycle(spark, store, "regressor")["kind"] == "train"  # no stream yet
+    write_batch(records.where(sea.blk == 4), store.stream, 0, RECORD)
+    assert jobs.run_cycle(spark, store, "regressor")["promoted_up_to"] == 0
+    assert spark.read.parquet(store.drifted).count() == 3 * sea.where("blk = 4").count()
+    assert read_table(spark, store.history, RECORD).count() == sea.where("blk in (1, 4)").count()
+
+
+def test_load_keeps_lines_without_a_key(spark, store, folder):
+    Path(folder, "h.csv").write_text(
+        "id,timestamp,feature_0,feature_1,feature_2,label\n"
+        "a,2024-04-12 10:39:18.045,4.0,6.1,6.4,1\n"
+        "b,never,x,6.1,6.4,0\n"
+        ",2024-04-12 10:39:18.045,1.0,2.0,3.0,0\n"
+    )
+    jobs.load_history(spark, f"{folder}/h.csv", store)
+    assert [r.id for r in read_table(spark, store.history, RECORD).collect()] == ["a"]
+    raw = sorted(r.raw for r in spark.read.parquet(store.rejects).collect())
+    assert len(raw) == 2
+    assert raw[1] == "b,never,x,6.1,6.4,0"
 
 
 def test_cycle(spark, sea, store):

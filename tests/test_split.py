@@ -107,3 +107,10 @@ def test_scan_is_pruned_and_filtered(spark, sf_dir):
     assert "SinglePartition" not in plan
     assert "PushedFilters: [IsNotNull(l_shipdate), LessThanOrEqual(l_shipdate" in plan
     assert extent(sea).rows == 6000
+
+
+def test_both_halves_reach_the_scan(spark, sf_dir):
+    early, late = chrono_split(fixtures.sea_points(spark, sf_dir))
+    assert "LessThanOrEqual(l_shipdate" in plan_of(early)
+    assert "GreaterThanOrEqual(l_shipdate" in plan_of(late)
+    assert early.count() + late.count() == 6000

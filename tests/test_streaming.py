@@ -1,17 +1,18 @@
 import datetime as dt
 import json
+import time
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from driftmon.functions.codec import decode
-from driftmon.schemas import RECORD
+from driftmon.schemas import RECORD, WINDOW_VERDICT
 from driftmon.sources.connectors import append_external, read_external, stream_external
 from driftmon.sources.keyed import read_table
 from driftmon.sources.streams import kafka_options, read_stream, show_stream, write_records
 from driftmon.streaming.ingest import ingest_batch, start_ingest
-from driftmon.streaming.monitor import start_monitor
+from driftmon.streaming.monitor import LateRows, start_monitor
 
 NOW = {"availableNow": True}
 
@@ -69,6 +70,53 @@ def test_replayed_batch(spark, folder):
     assert spark.read.parquet(f"{folder}/rejects").count() == 1
 
 
+def test_a_new_checkpoint_may_not_renumber_a_table(spark, folder):
+    put(folder, "a.txt", [message("a", 0)])
+    ingest(spark, folder)
+    stream = read_stream(spark, "text", f"{folder}/in")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_ingest(stream, f"{folder}/table", f"{folder}/rejects", f"{folder}/other", trigger=NOW)
+    assert stored(spark, folder) == {"a": 0.0}
+    ingest(spark, folder)
+    assert stored(spark, folder) == {"a": 0.0}
+
+
+def test_ids_that_are_no_uuid_are_rejected_when_asked(spark, folder):
+    good = "c235383f-d241-4d5d-8849-565482c7973f"
+    rows = [(message(good, 0), 1), (message("b", 0), 2), (message(None, 0), 3)]
+    batch = spark.createDataFrame(rows, "value string, _order int")
+    ingest_batch(batch, 0, f"{folder}/table", f"{folder}/rejects", uuid_ids=True)
+    assert list(stored(spark, folder)) == [good]
+    assert spark.read.parquet(f"{folder}/rejects").count() == 2
+
+
+def test_quiet_monitor_and_late_rows(spark, folder):
+    late = LateRows()
+    spark.streams.addListener(late)
+
+    def run():
+        stream = read_stream(spark, "text", f"{folder}/in", maxFilesPerTrigger="1")
+        scored = decode(stream).withColumn("score", F.col("feature_0"))
+        query = start_monitor(scored, 1.0, f"{folder}/out", f"{folder}/offsets", trigger=NOW)
+        query.awaitTermination(120)
+        return query.id
+
+    try:
+        put(folder, "a.txt", [message("a", 0)])
+        key = run()
+        read = spark.read.schema(WINDOW_VERDICT).parquet(f"{folder}/out")
+        assert read.isEmpty()
+        put(folder, "b.txt", [message("b", 5 * 1440)])
+        run()
+        put(folder, "c.txt", [message("c", 1), message("d", 2, feature=2.0)])
+        run()
+    finally:
+        time.sleep(3)  # progress is told a little later
+        spark.streams.removeListener(late)
+    assert spark.read.schema(WINDOW_VERDICT).parquet(f"{folder}/out").count() == 1
+    assert late.counts[key] == 2
+
+
 def test_monitor_emits_closed_windows_once(spark, folder):
     """Positives score high on the first day and low on the second."""
     for day, flip in ((0, 1.0), (1, -1.0), (2, 1.0)):
