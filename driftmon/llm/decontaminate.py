@@ -284,7 +284,7 @@ def matches(text: str, block: Block) -> Column:
         for batch in batches:
             yield pa.array(_matches(block, batch.to_pylist()), _MATCH)
 
-    return held(whole(text))
+    return held.asNondeterministic()(whole(text))  # else an explode would run it twice
 
 
 def contaminated(
