@@ -72,16 +72,19 @@ def raw_hash(text: str) -> Column:
 def keep_rows(docs: DataFrame, keepers: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The rows of `docs` named by `keepers` (k_id, k_raw, k_same), with all their columns.
 
-    k_same is the number of rows with that id and text. Where it is over one, one of them
-    stays; these rows are reduced map-side, so a row repeated very often is no hot spot.
+    `keepers` must be a written table. k_same is the number of rows with that id and text;
+    where there are any with more than one, one of them stays, and these rows are reduced
+    map-side, so that a row repeated very often is no hot spot.
     """
     raw = free(docs, "__raw")
     rows = docs.withColumn(raw, raw_hash(text))
     on = F.col("k.k_id").eqNullSafe(F.col(f"d.`{doc_id}`")) & (F.col("k.k_raw") == F.col(f"d.`{raw}`"))
 
     def among(k: DataFrame) -> DataFrame:
-        return rows.alias("d").join(k.select("k_id", "k_raw").alias("k"), on, "left_semi")
+        return rows.alias("d").join(k.select("k_id", "k_raw").hint("merge").alias("k"), on, "left_semi")
 
+    repeated = keepers.where("k_same > 1")
+    if repeated.isEmpty():
+        return among(keepers).drop(raw)
     once = among(keepers.where("k_same = 1"))
-    again = among(keepers.where("k_same > 1")).dropDuplicates([doc_id, raw])
-    return once.unionByName(again).drop(raw)
+    return once.unionByName(among(repeated).dropDuplicates([doc_id, raw])).drop(raw)

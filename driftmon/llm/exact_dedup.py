@@ -103,10 +103,13 @@ def _screen(groups: DataFrame, snapshot: Snapshot) -> DataFrame:
 
 
 def _texts(pairs: DataFrame, side: str, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The normalised text of each pair's row on one side."""
+    """The normalised text of each pair's row on one side.
+
+    The pairs grow with the copies in the corpus, so they are never broadcast.
+    """
     of = docs.select(F.col(doc_id).alias("t_id"), raw_hash(text).alias("t_raw"), normalised(text).alias("t"))
     on = F.col("t_id").eqNullSafe(F.col(f"{side}_id")) & (F.col("t_raw") == F.col(f"{side}_raw"))
-    return of.join(pairs, on).select("sha", F.col("t").alias(f"{side}_text"))
+    return of.join(pairs.hint("merge"), on).select("sha", F.col("t").alias(f"{side}_text"))
 
 
 def confirmed(
@@ -122,7 +125,7 @@ def confirmed(
     )
     old = _texts(pairs.select("sha", "s_id", "s_raw"), "s", snapshot.docs, doc_id, text)
     new = _texts(pairs.select("sha", "b_id", "b_raw"), "b", batch, doc_id, text)
-    return old.join(new, "sha").where("s_text = b_text").select("sha").distinct()
+    return old.join(new.hint("merge"), "sha").where("s_text = b_text").select("sha").distinct()
 
 
 def dedup(batch: DataFrame, snapshot: Snapshot, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,4 +181,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     """`docs` with one row of each group of equal texts, all columns as they were."""
     kept = exact_dedup(docs, doc_id, text).where("kept")
     keepers = kept.select(F.col("id").alias("k_id"), F.col("raw").alias("k_raw"), F.col("same").alias("k_same"))
-    return keep_rows(docs, keepers, doc_id, text)
+    return keep_rows(docs, written(keepers, "keepers"), doc_id, text)
