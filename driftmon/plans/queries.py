@@ -567,4 +567,4 @@ def stream_monitor(spark, sf_dir):
     start_monitor(
         messages, 0.5, out, work_path(spark, "offsets"), trigger={"availableNow": True}
     ).awaitTermination()
-    return spark.read.schema(WINDOW_VERDICT).parquet(out)
+    return spark.read.schema(WINDOW_VERDICT).parquet(out).select(*WINDOW_VERDICT.names)
