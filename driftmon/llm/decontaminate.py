@@ -3,14 +3,17 @@
 Distance is edits over words (lower case, ASCII punctuation off). A document holds an item
 of n words if one of its stretches is within `share * n` edits of the whole item.
 
-Windows of an item's size class (the largest width of which an item holds two) are laid over
-the document at steps of half a width, and over the items at every word, so that a held
-passage always has windows that begin at the same word as one of the item's. A window is
+Windows of an item's size class (the largest width up to 12 of which an item holds two) are
+laid over the document at steps of half a width, and over the items at every word, so that a
+held passage always has windows that begin at the same word as one of the item's. Wider ones
+would hold too many edits each: a longer item has more windows instead. A window is
 embedded by a random walk: at each step the current word is put out, and a random bit of
 step and word tells whether to go on to the next one. Few edits then change few outputs, so
 a few sampled outputs agree with good probability. This is repeated with new bits and
-samples. An agreement is only a candidate: the whole item is then compared with the stretch
-around it, exactly.
+samples, for each class as often as it takes to find a share of `recall` of the items that are
+held with as many edits as are allowed; trials on the shortest items of the class tell. An
+agreement is only a candidate: the whole item is then compared with the stretch around it,
+exactly.
 
 The benchmark is a query set: it is taken in blocks of bounded size, each of which every
 document meets in place. Documents are not shuffled. Null and empty texts hold nothing, and
@@ -33,7 +36,10 @@ from driftmon.llm.common import whole
 from driftmon.session import written
 
 SHARE = 0.2  # edits allowed, as a share of the item's words
-ROUNDS, SAMPLES = 10, 6  # repetitions of the embedding; outputs that must agree in one
+RECALL = 0.99  # of the items held with `SHARE` edits, in each size class
+SAMPLES = 6  # outputs that must agree in one repetition of the embedding
+WIDTHS = (1, 2, 3, 6, 12)  # of windows, by size class
+TRIALS, MOST_ROUNDS = 2000, 1000  # edited items a class is tried on; more rounds are refused
 BLOCK_WORDS = 100_000  # of the benchmark, taken at once
 CHUNK_WORDS = 100_000  # of documents, embedded at once
 _BLANK = bytes.maketrans(punctuation.encode(), b" " * len(punctuation))
@@ -44,11 +50,8 @@ def words_of(text: str) -> list[bytes]:
 
 
 def _width(n: int) -> int:
-    """The size class of an item of n words: 1, 2, 3, 6, 12, 24, ... of which it holds two."""
-    width = 1 if n < 4 else 2 if n < 6 else 3
-    while width >= 3 and 4 * width <= n:
-        width *= 2
-    return width
+    """The size class of an item of n words: the widest windows of which it holds two."""
+    return max((w for w in WIDTHS if 2 * w <= n), default=1)
 
 
 def _step(width: int) -> int:
@@ -70,6 +73,15 @@ class Walk:
     steps: np.ndarray  # sampled steps, ascending
     bits: np.ndarray  # [step, word]: go on or stay
 
+    @classmethod
+    def drawn(cls, rng: np.random.Generator, width: int, samples: int, words: int) -> "Walk":
+        """A walk over words numbered up to `words`; 0 is what no item has."""
+        top = 2 * width
+        steps = np.sort(rng.choice(top, min(samples, top), replace=False))
+        bits = rng.integers(0, 2, (top, words + 1), np.int32)
+        bits[:, 0] = rng.integers(0, 2, top)
+        return cls(width, steps, bits)
+
     def keys(self, ids: np.ndarray, starts: np.ndarray, allowed: list[np.ndarray] | None):
         """(starts, key) of the windows whose outputs agree with some item's, sample by sample.
 
@@ -94,10 +106,72 @@ class Walk:
         return alive, key
 
 
+def _trial(rng: np.random.Generator, width: int, n: int, edits: int, words: int):
+    """Items of n words and documents that hold them edited: (ids, starts, item) of both's windows."""
+    items = rng.integers(1, words, (TRIALS, n))
+    kind = np.zeros((TRIALS, n), np.int64)  # substituted, deleted, or followed by another word
+    kind[:, :edits] = rng.integers(1, 4, (TRIALS, edits))
+    kind = rng.permuted(kind, axis=1)
+    around = 2 * width
+    times = np.pad(np.choose(kind, (1, 1, 0, 2)), ((0, 0), (around, around)), constant_values=1)
+    # A document begins at any word before the item, so that the windows' steps meet it anywhere.
+    times[:, :around] = np.arange(around) >= rng.integers(0, around + 1, TRIALS)[:, None]
+    text = rng.integers(1, words, (TRIALS, n + 2 * around))
+    text[:, around:-around] = np.where(kind == 1, text[:, around:-around], items)
+    ids = np.repeat(text.ravel(), times.ravel())
+    again = np.repeat((times == 2).ravel(), times.ravel())
+    second = again & (np.cumsum(again) % 2 == 0)
+    ids[second] = rng.integers(1, words, second.sum())
+    sizes = times.sum(axis=1)
+    many = -(-sizes // _step(width))
+    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    at = np.repeat(np.cumsum(sizes) - sizes, many) + nth * _step(width)
+    own = (np.arange(TRIALS)[:, None] * (n + around) + np.arange(max(1, n - width + 1))).ravel()
+    flat = np.pad(items, ((0, 0), (0, around))).ravel()
+    docs = np.append(ids, np.zeros(around, np.int64)), at, np.repeat(np.arange(TRIALS), many)
+    return (flat, own, np.repeat(np.arange(TRIALS), max(1, n - width + 1))), docs
+
+
+@lru_cache(maxsize=64)
+def rounds_for(width: int, share: float, samples: int, recall: float) -> int:
+    """Repetitions that find `recall` of a class's items held with `share` edits.
+
+    Tried on the shortest length and the next two that allow one edit more: within a class
+    these have the fewest windows for their edits. Two standard errors are added.
+    """
+    if not 0 < recall < 1:
+        raise ValueError("recall must lie between 0 and 1")
+    least = min(recall + 2 * (recall * (1 - recall) / TRIALS) ** 0.5, 1 - 1 / TRIALS)
+    shortest = 1 if width == 1 else 2 * width
+    lengths = [n for n in range(shortest, 8 * width) if _width(n) == width]
+    lengths = [n for n in lengths if n == shortest or int(share * n) > int(share * (n - 1))][:3]
+    words, most = 5000, 1
+    for n in lengths:
+        if int(share * n) == 0:
+            continue  # copies word for word agree always
+        rng = np.random.default_rng(n)
+        (flat, own, item), (ids, at, doc) = _trial(rng, width, n, int(share * n), words)
+        found, rounds = np.zeros(TRIALS, bool), 0
+        while found.mean() < least:
+            if rounds == MOST_ROUNDS:
+                raise ValueError(f"no {recall} of items of {n} words with {share} edits in {rounds} rounds")
+            walk = Walk.drawn(rng, width, samples, words)
+            alive, key = walk.keys(flat, own, None)
+            there, seen = walk.keys(ids, at, None)
+            with np.errstate(over="ignore"):
+                mine = _mixed(key + item[alive].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                theirs = _mixed(seen + doc[there].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            found[doc[there][np.isin(theirs, mine)]] = True
+            rounds += 1
+        most = max(most, rounds)
+    return most
+
+
 class Block:
     """Part of the benchmark with its walks and the keys of all its windows."""
 
-    def __init__(self, items: tuple, share: float, rounds: int, samples: int):
+    def __init__(self, items: tuple, share: float, rounds: tuple[int, ...], samples: int):
+        """`rounds` are given for each of WIDTHS."""
         self.made_of = (items, share, rounds, samples)
         split = [(key, words_of(text)) for key, text in items]
         self.items = [(key, words) for key, words in split if words]
@@ -120,12 +194,8 @@ class Block:
                 start.append(base + np.arange(many))
                 base += n + 2 * width
             item, offset, start = map(np.concatenate, (item, offset, start))
-            for _ in range(rounds):
-                top = 2 * width
-                steps = np.sort(rng.choice(top, min(samples, top), replace=False))
-                bits = rng.integers(0, 2, (top, len(self.vocabulary) + 1), np.int32)
-                bits[:, 0] = rng.integers(0, 2, top)
-                walk = Walk(width, steps, bits)
+            for _ in range(rounds[WIDTHS.index(width)]):
+                walk = Walk.drawn(rng, width, samples, len(self.vocabulary))
                 self.tables.append((walk, *self._table(walk, flat, start, item, offset)))
 
     def __reduce__(self):
@@ -268,11 +338,12 @@ def _search(block: Block, group: list[np.ndarray], at: list[int], found: list[li
         )
 
 
-def blocks(benchmark: DataFrame, share: float, rounds: int, samples: int, item_id: str, text: str) -> Iterator[Block]:
+def blocks(benchmark: DataFrame, share: float, recall: float, samples: int, item_id: str, text: str) -> Iterator[Block]:
     """The benchmark by blocks of about BLOCK_WORDS words, so what a task holds is bounded."""
     items = benchmark.select(F.col(item_id).cast("long").alias("id"), whole(text).alias("t"))
     size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     many = size // (5 * BLOCK_WORDS) + 1
+    rounds = tuple(rounds_for(width, share, samples, recall) for width in WIDTHS)
     for b in range(many):
         mine = items.where(F.pmod(F.xxhash64("id", "t"), F.lit(many)) == b)
         yield Block(tuple((r.id, r.t) for r in mine.orderBy("id", "t").collect()), share, rounds, samples)
@@ -291,7 +362,7 @@ def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
     share: float = SHARE,
-    rounds: int = ROUNDS,
+    recall: float = RECALL,
     samples: int = SAMPLES,
     doc_id: str = "doc_id",
     text: str = "text",
@@ -302,7 +373,7 @@ def contaminated(
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     found = [
         rows.select("doc_id", F.explode(matches("text", block)).alias("p")).select("doc_id", "p.*")
-        for block in blocks(benchmark, share, rounds, samples, item_id, item_text)
+        for block in blocks(benchmark, share, recall, samples, item_id, item_text)
     ]
     return reduce(DataFrame.unionByName, found)
 
@@ -311,7 +382,7 @@ def drop_contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
     share: float = SHARE,
-    rounds: int = ROUNDS,
+    recall: float = RECALL,
     samples: int = SAMPLES,
     text: str = "text",
     item_id: str = "item_id",
@@ -323,6 +394,6 @@ def drop_contaminated(
     never holds two of them.
     """
     out = None
-    for block in blocks(benchmark, share, rounds, samples, item_id, item_text):
+    for block in blocks(benchmark, share, recall, samples, item_id, item_text):
         out = (docs if out is None else written(out, "clean")).where(F.size(matches(text, block)) == 0)
     return out

@@ -65,6 +65,31 @@ def test_recall_against_brute_force(spark, share, least):
     assert len(want & got) >= least * len(want)
 
 
+@pytest.mark.parametrize("share", [0.15, 0.2])
+def test_recall_of_long_items_against_brute_force(spark, share):
+    rng = random.Random(6)
+    items = [prose(n, 300 + i) for i, n in enumerate([96, 97, 110, 150, 199, 200, 300, 400] * 3)]
+    rows = []
+    for d in range(192):
+        k = d % len(items)
+        words = items[k].split()
+        body = edited(words, int(share * len(words)), rng)
+        rows.append((d, f"{prose(rng.randrange(30), d)} qq {body} qq {prose(20, d + 1000)}", k))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k long")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(docs, bench).collect()}
+    want = {(d, k) for d, t, k in rows if distance(dc.words_of(items[k]), dc.words_of(t)) <= int(dc.SHARE * len(dc.words_of(items[k])))}
+    assert len(want) > 150 and len(want & got) >= dc.RECALL * len(want)
+
+
+def test_rounds_follow_from_the_recall():
+    few, many = (dc.rounds_for(12, dc.SHARE, dc.SAMPLES, r) for r in (0.9, 0.99))
+    assert 1 <= few < many
+    assert dc.rounds_for(12, 0.1, dc.SAMPLES, 0.99) < many
+    with pytest.raises(ValueError):
+        dc.rounds_for(12, dc.SHARE, dc.SAMPLES, 1.0)
+
+
 def test_odd_rows(spark, odd, none):
     bench = spark.createDataFrame(
         [(1, "Alpha beta gamma DELTA!"), (2, None), (3, ""), (4, "word"), (4, "word"), (5, prose(60, 5))],
