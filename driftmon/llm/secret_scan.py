@@ -6,6 +6,10 @@ Three base kinds are patterns alone. Three further kinds are reported only after
 * `der`: base64 or hex that decodes to a DER private key, every nested length checked;
 * `ssh`: base64 that decodes to an OpenSSH private key container, lengths checked.
 
+Keys in base64 may follow any character, also one of base64 (the n of an escaped line break,
+a header or path without a break). Where they end follows from their lengths; there a line
+must end, or what is no base64, or the other alphabet, or a PEM footer must follow.
+
 Offsets are code points, ends exclusive. Null and empty texts have no spans.
 """
 
@@ -13,6 +17,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,8 +41,10 @@ BASE = {
 KINDS = [*BASE, "jwt", "der", "ssh"]
 _WORDS = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
-_BLOCK = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}(?:(?:\\n|\r?\n)[ \t]*[A-Za-z0-9+/]+={0,2})*")
-_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+_KEY = re.compile(r"M(?=[A-I][A-Za-z0-9+/_-]{22})|b(?=3BlbnNzaC1rZXktdjEA)")  # how they begin in base64
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+(?:(?:(?:\\+r)?\\+n|\r?\n)[ \t]*[A-Za-z0-9+/_-]+)*")
+_LINE = re.compile(r"(?:(?:\\+r)?\\+n|\r?\n)[ \t]*|([A-Za-z0-9+/_-]+)")
+_PADDING = re.compile("={0,2}")
 _HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 _GAPS = re.compile(r"\\n|\s")
 SSH_MAGIC = b"openssh-key-v1\0"
@@ -52,28 +59,81 @@ def decoded(block: str) -> bytes | None:
         return None
 
 
-def blocks(text: str) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, content) of what may be base64, on one line or on lines of one length
-    with a shorter last one; each reading of where it ends is given."""
-    for m in _BLOCK.finditer(text):
-        first, ends = m.group(), []
-        if first[0] not in "Mb":  # a DER key begins with a sequence, an SSH key with its magic
+class Run:
+    """Lines of base64 characters, of which any may be the first of a key."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.text = text
+        lines = [m.span(1) for m in _LINE.finditer(text, start, end) if m.group(1)]
+        self.starts, self.places, size = [a for a, _ in lines], [], 0
+        for a, b in lines:
+            self.places.append(size)
+            size += b - a
+        self.body = "".join(text[a:b] for a, b in lines)
+        self.phases: dict[int, memoryview] = {}
+
+    def place(self, at: int) -> int:
+        """Where a position of the text is in the body."""
+        line = bisect_right(self.starts, at) - 1
+        return self.places[line] + at - self.starts[line]
+
+    def at(self, place: int) -> int:
+        line = bisect_right(self.places, place) - 1
+        return self.starts[line] + place - self.places[line]
+
+    def content(self, place: int) -> memoryview:
+        """What is decoded from here on; the run is decoded four times at most."""
+        phase = place % 4
+        if phase not in self.phases:
+            body = self.body[phase:]
+            self.phases[phase] = memoryview(decoded(body[: len(body) - (len(body) % 4 == 1)]) or b"")
+        return self.phases[phase][place // 4 * 3 :]
+
+    def end(self, place: int, size: int) -> int | None:
+        """Where in the text a key of so many bytes ends, if it may end there."""
+        last = place + -(-size * 4 // 3)
+        end = self.at(last - 1) + 1
+        if last < len(self.body) and self.at(last) == end and not self.text.startswith("-----", end):
+            key = self.body[place:last]
+            other = "-_" if "+" in key or "/" in key else "+/" if "-" in key or "_" in key else ""
+            if self.text[end] not in other:
+                return None
+        return _PADDING.match(self.text, end).end()
+
+
+def keys(text: str) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of the private keys in base64, none inside another."""
+    run, stop, after = None, 0, 0
+    for m in _KEY.finditer(text):
+        start = m.start()
+        if start < after:
             continue
-        whole_lines = None
-        for line in _LINE.finditer(first.replace("\\n", "\n\n")):
-            size = line.end() - line.start()
-            whole_lines = whole_lines or size
-            if size <= whole_lines:
-                ends.append(line.end())
-            if size != whole_lines:
-                break
-        for end in ends[:-3:-1]:
-            data = decoded(first[:end])
-            if data:
-                yield m.start(), m.start() + end, data
-
-
-def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
+        if start >= stop:
+            stop = _RUN.match(text, start).end()
+            run = Run(text, start, stop)
+        place = run.place(start)
+        data = run.content(place)
+        kind, size = ("der", der_size(data)) if m.group() == "M" else ("ssh", ssh_size(data))
+        end = run.end(place, size) if size else None
+        if end and (kind == "ssh" or is_der_key(data[:size])):
+            yield kind, start, end
+            after = end
+
+
+def der_size(data: memoryview) -> int | None:
+    """Bytes of the sequence that `data` begins with, if all are there and a number is first."""
+    if len(data) < 6:
+        return None
+    size, at = data[1], 2
+    if size & 0x80:
+        n = size & 0x7F
+        if not 1 <= n <= 4:
+            return None
+        size, at = int.from_bytes(data[2 : 2 + n], "big"), 2 + n
+    return at + size if at + size <= len(data) and data[at : at + 1] == b"\2" else None
+
+
+def der_items(data: bytes | memoryview) -> list[tuple[int, bytes | memoryview]] | None:
     """(tag, content) of the values that fill `data` exactly, or None."""
     out, at = [], 0
     while at < len(data):
@@ -93,7 +153,7 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
     return out
 
 
-def is_der_key(data: bytes) -> bool:
+def is_der_key(data: bytes | memoryview) -> bool:
     """A private key: RSA or DSA integers, an EC key, or either wrapped with its algorithm."""
     outer = der_items(data) if data[:1] == b"\x30" else None
     if not outer or len(outer) != 1:
@@ -112,26 +172,27 @@ def is_der_key(data: bytes) -> bool:
     return False
 
 
-def is_ssh_key(data: bytes) -> bool:
-    """The container: magic, cipher, kdf, kdf options, key count, then the keys, all by length."""
-    if not data.startswith(SSH_MAGIC):
-        return False
-    at, fields = len(SSH_MAGIC), 0
-    while at < len(data):
+def ssh_size(data: memoryview) -> int | None:
+    """Bytes of the container that `data` begins with: magic, cipher, kdf, kdf options, key
+    count, the public keys and the private ones, all by length."""
+    if data[: len(SSH_MAGIC)] != SSH_MAGIC:
+        return None
+    at, fields, want = len(SSH_MAGIC), 0, 4
+    while fields < want:
         if at + 4 > len(data):
-            return False
+            return None
         size = int.from_bytes(data[at : at + 4], "big")
         at += 4
         if fields == 3:  # the number of keys
             if not 1 <= size <= 64:
-                return False
+                return None
             want = 4 + size + 1
         elif at + size > len(data):
-            return False
+            return None
         else:
             at += size
         fields += 1
-    return fields >= 4 and fields == want
+    return at
 
 
 def is_signed_token(header: str, payload: str) -> bool:
@@ -154,10 +215,7 @@ def spans(text: str) -> list[tuple[str, int, int]]:
         found += [(kind, *m.span()) for m in pattern.finditer(text) if good(m)]
     if "eyJ" in text:
         found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m.group(1), m.group(2))]
-    for start, end, data in blocks(text):
-        kind = "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
-        if kind and (kind, start) not in {f[:2] for f in found}:
-            found.append((kind, start, end))
+    found += keys(text)
     for m in _HEX.finditer(text):
         if m.group().startswith("30") and is_der_key(bytes.fromhex(m.group())):
             found.append(("der", *m.span()))

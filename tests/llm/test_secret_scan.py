@@ -100,6 +100,28 @@ def test_keys_and_tokens_are_confirmed_by_structure():
     assert kinds(f"Bearer {token} ok") == [("jwt", token)]
 
 
+def test_keys_are_found_after_any_character():
+    for data, kind in ((RSA, "der"), (EC, "der"), (WRAPPED, "der"), (SSH, "ssh")):
+        one = b64(data)
+        lines = re.findall(".{1,64}", one)
+        for gap in ("\\n", "\\r\\n", "\n", "\r\n"):
+            body = gap.join(lines)
+            text = f'{{"private_key": "-----BEGIN PRIVATE KEY-----{gap}{body}{gap}-----END PRIVATE KEY-----{gap}"}}'
+            assert kinds(text) == [(kind, body)], gap
+        for before in ("-----BEGIN PRIVATE KEY-----", "key_", "path/", "n", "MIIE", "b3Blbn", "Mb", "x\nMII"):
+            assert kinds(f"{before}{one}") == [(kind, one)], before
+            assert kinds(f"{before}{one} {before}{one}") == [(kind, one)] * 2, before
+            bare = one.rstrip("=")
+            assert kinds(f"{before}{bare}-----END PRIVATE KEY-----") == [(kind, bare)], before
+            assert kinds(f"{before}{b64(data[:-1])}") == [], before
+        safe = base64.urlsafe_b64encode(data).decode()
+        assert kinds(f"path/{safe}") == [(kind, safe)]
+
+
+def test_many_beginnings_in_one_run_are_no_trouble():
+    assert kinds("MIIEowIBAAKCAQEA" * 50_000) == []
+
+
 def test_what_only_looks_like_a_secret_is_not_reported():
     broken = bytearray(RSA)
     broken[3] ^= 1
