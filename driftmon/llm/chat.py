@@ -5,27 +5,35 @@ a JSON object with "tool_calls" holds calls, each with "id", "name", "arguments"
 waits for others, "after" (their ids). A message of role "tool" whose text is a JSON object
 with "tool_call_id" and "content" is a result. Every other message stays as it is.
 
-* Calls and results of a conversation are hash-joined by identifier. Calls that repeat an
-  identifier are one call (the first by turn), results likewise; the numbers are reported.
+* Calls and results of a conversation are hash-joined by identifier. Where one is used again,
+  the k-th call by turn and place goes with the k-th result by turn; each has its line, and
+  the numbers are reported. Results beyond the last call of their identifier are in `repeats`
+  of that call's result line, as the lines they would be. Calls without an id are calls of
+  their own without a result.
+* What a calling message or a result says besides is a message before its calls: its content,
+  or all of its other keys as JSON if there are more.
 * Calls are ordered topologically: a call comes after all calls it waits for, and otherwise
   at its turn. Rounds of joins release the calls whose waits are over; there are as many as
   the longest chain of waiting calls. Calls in a circle keep their turn and are reported.
+  Of calls with one identifier the last up to the waiting call's turn is waited for, or else
+  the first.
 * Arguments are checked against the schema of the tool.
 * Each message, call and result becomes one line of canonical JSON: keys sorted, no spaces,
   numbers in their shortest form.
 
 No conversation is gathered into one task: the order is a sort key (turn_at, stage, place,
-part). A null id is an id of its own, a null text an empty one, a null role stays null.
+part); only the uses of one identifier in one conversation meet, to be numbered. A null
+conv_id is a conversation, a null text an empty one, a null role stays null.
 Malformed JSON is an ordinary message. Other columns of the messages are not read.
 """
 
 import json
 import math
-from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftmon.llm.common import whole
@@ -125,6 +133,27 @@ def _line(key: str, value: Column, content: Column) -> Column:
     return line(value, content)
 
 
+def besides(text: str, keys: tuple[str, ...]) -> str:
+    """What a message says beside `keys`: its content if that is all, or the rest as JSON."""
+    try:
+        rest = {k: v for k, v in json.loads(text).items() if k not in keys}
+        return rest["content"] if list(rest) == ["content"] and isinstance(rest["content"], str) else canonical(rest)
+    except (AttributeError, ValueError, RecursionError):
+        return text
+
+
+_KEYS = {"call": ("tool_calls",), "result": ("tool_call_id", "content")}
+
+
+def _spoken() -> Column:
+    @F.arrow_udf("string")
+    def spoken(roles: pa.Array, texts: pa.Array, uses: pa.Array) -> pa.Array:
+        rows = zip(roles.to_pylist(), texts.to_pylist(), uses.to_pylist())
+        return pa.array([canonical({"role": r, "content": besides(t, _KEYS[u]) if u else t}) for r, t, u in rows], pa.string())
+
+    return spoken(F.col("role").cast("string"), F.col("text"), F.col("use"))
+
+
 def parse(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(messages, calls, results)."""
     rows = messages.select("conv_id", "turn", "role", whole("text").alias("text"))
@@ -135,67 +164,127 @@ def parse(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     has_result = F.coalesce(F.col("result.tool_call_id").isNotNull(), F.lit(False))
     calls = rows.where(has_calls).select("conv_id", "turn", F.posexplode("calls").alias("place", "c"))
     results = rows.where(has_result).select("conv_id", "turn", F.col("result.tool_call_id").alias("call_id"), "result.content")
-    plain = rows.where(~has_calls & ~has_result).select("conv_id", "turn", "role", "text")
-    return plain, calls.select("conv_id", F.col("c.id").alias("call_id"), "turn", "place", "c"), results
+
+    def more(use: str) -> Column:
+        rest = F.array_except(F.json_object_keys("text"), F.array(*map(F.lit, _KEYS[use])))
+        silent = F.coalesce(F.get_json_object("text", "$.content"), F.lit("")) == ""
+        silent = F.array_compact(F.when(silent, F.array_remove(rest, "content")).otherwise(rest)) if use == "call" else rest
+        return F.coalesce(F.size(silent), F.lit(1)) != 0
+
+    use = F.when(has_calls, "call").when(has_result, "result").alias("use")
+    plain = rows.where(F.when(has_calls, more("call")).when(has_result, more("result")).otherwise(True))
+    return plain.select("conv_id", "turn", "role", "text", use), calls.select("conv_id", F.col("c.id").alias("call_id"), "turn", "place", "c"), results
+
+
+def numbered(calls: DataFrame) -> DataFrame:
+    """(conv_id, call_id, nth, call, copies): calls with one identifier told apart by `nth`."""
+    unnamed = F.col("call_id").isNull()
+    same = Window.partitionBy("conv_id", "call_id", F.when(unnamed, F.col("turn")), F.when(unnamed, F.col("place")))
+    call = F.struct("turn", "place", F.col("c.name"), F.col("c.arguments"), F.col("c.after"))
+    n = F.row_number().over(same.orderBy("turn", "place", "c")).cast("string")
+    where = F.concat_ws("/", F.coalesce(F.col("turn").cast("string"), F.lit("-")), F.col("place").cast("string"), n)
+    nth = F.when(unnamed, where).otherwise(n).alias("nth")
+    return calls.select("conv_id", "call_id", nth, call.alias("call"), F.count("*").over(same).alias("copies"))
+
+
+def dealt(results: DataFrame, calls: DataFrame) -> DataFrame:
+    """(conv_id, call_id, nth, result, results, repeats): for each call, or each result without one."""
+    same = Window.partitionBy("conv_id", "call_id")
+    results = written(
+        results.select(
+            "conv_id",
+            "call_id",
+            F.row_number().over(same.orderBy("turn", "content")).alias("k"),
+            F.struct("turn", "content").alias("result"),
+            F.count("*").over(same).alias("results"),
+        ),
+        "results",
+    )
+    key, none = F.col("k").cast("string").alias("nth"), F.array().cast("array<string>").alias("repeats")
+    if results.where("k > 1").isEmpty():
+        return results.select("conv_id", "call_id", key, "result", "results", none)
+    many = calls.where("nth = '1'").select("conv_id", "call_id", F.col("copies").alias("many"))
+    on = F.col("r.conv_id").eqNullSafe(F.col("m.conv_id")) & (F.col("r.call_id") == F.col("m.call_id"))
+    rest = results.where("k > 1").alias("r").join(many.alias("m"), on, "left").select("r.*", "many")
+    line = _line("tool_call_id", F.col("call_id"), F.coalesce("result.content", F.lit("")))
+    over = rest.where("k > many").withColumn("line", line)
+    over = over.groupBy("conv_id", "call_id", F.col("many").cast("int").alias("k")).agg(F.sort_array(F.collect_list(F.struct("k", "line"))).alias("over"))
+    own = results.where("k = 1").unionByName(rest.where("many is null or k <= many").drop("many"))
+    at = F.col("r.conv_id").eqNullSafe(F.col("o.conv_id")) & (F.col("r.call_id") == F.col("o.call_id")) & (F.col("r.k") == F.col("o.k"))
+    own = own.alias("r").join(over.alias("o"), at, "left").select("r.*", "over")
+    return own.select("conv_id", "call_id", key, "result", "results", F.coalesce("over.line", none).alias("repeats"))
 
 
 def _same(a: str, b: str) -> Column:
-    return F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & F.col(f"{a}.call_id").eqNullSafe(F.col(f"{b}.call_id"))
+    return reduce(Column.__and__, (F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in ("conv_id", "call_id", "nth")))
+
+
+def _which(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """`asked` with wait_nth: which of the calls with the identifier is waited for."""
+    again = known.where("copies > 1")
+    if again.isEmpty():
+        return asked.withColumn("wait_nth", F.lit("1"))
+    uses = again.select("conv_id", F.col("call_id").alias("wait"), "turn", F.col("nth").alias("use"))
+    uses = asked.unionByName(uses, allowMissingColumns=True)
+    so_far = Window.partitionBy("conv_id", "wait").orderBy("turn").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.max(F.col("use").cast("int")).over(so_far).cast("string")
+    return uses.withColumn("wait_nth", F.coalesce(last, F.lit("1"))).where("use is null").drop("use")
 
 
 def ordered(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, turn_at, stage, circular) of the calls (conv_id, call_id, call)."""
-    nodes = calls.select("conv_id", "call_id", F.col("call.turn").alias("turn"), F.col("call.after").alias("after"))
-    asked = nodes.select("conv_id", "call_id", "turn", F.explode("after").alias("wait")).distinct()
-    known = nodes.select("conv_id", F.col("call_id").alias("wait"))
-    on = F.col("a.conv_id").eqNullSafe(F.col("k.conv_id")) & (F.col("a.wait") == F.col("k.wait"))
+    """(conv_id, call_id, nth, turn_at, stage, circular) of the calls that `numbered` gives."""
+    nodes = calls.select("conv_id", "call_id", "nth", "copies", F.col("call.turn").alias("turn"), F.col("call.after").alias("after"))
+    asked = nodes.select("conv_id", "call_id", "nth", "turn", F.explode("after").alias("wait")).distinct()
+    asked = _which(asked, nodes)
+    known = nodes.select("conv_id", F.col("call_id").alias("wait"), F.col("nth").alias("wait_nth"))
+    on = F.col("a.conv_id").eqNullSafe(F.col("k.conv_id")) & (F.col("a.wait") == F.col("k.wait")) & (F.col("a.wait_nth") == F.col("k.wait_nth"))
     # Waits for a call that the conversation lacks are no reason to wait.
     waits = asked.alias("a").join(known.alias("k"), on, "left_semi")
     waits = written(waits, "waits")
-    waiting = waits.select("conv_id", "call_id").distinct()
+    waiting = waits.select("conv_id", "call_id", "nth").distinct()
     free = nodes.alias("n").join(waiting.alias("w"), _same("n", "w"), "left_anti")
     start = F.struct(F.col("turn").alias("turn_at"), F.lit(0).alias("stage"))
-    done = written(free.select("conv_id", "call_id", start.alias("key")), "released")
+    done = written(free.select("conv_id", "call_id", "nth", start.alias("key")), "released")
     while not waits.isEmpty():
         met = waits.alias("a").join(
-            done.select("conv_id", F.col("call_id").alias("wait"), F.col("key").alias("of")).alias("k"), on, "left"
+            done.select("conv_id", F.col("call_id").alias("wait"), F.col("nth").alias("wait_nth"), F.col("key").alias("of")).alias("k"), on, "left"
         )
-        per = met.groupBy("a.conv_id", "a.call_id").agg(
+        per = met.groupBy("a.conv_id", "a.call_id", "a.nth").agg(
             F.max("turn").alias("turn"), F.max("of").alias("of"), F.count("*").alias("n"), F.count("of").alias("met")
         )
         late = F.coalesce(F.col("of.turn_at") >= F.col("turn"), F.col("turn").isNull())
         at = F.when(late, F.col("of.turn_at")).otherwise(F.col("turn")).alias("turn_at")
         stage = F.when(late, F.col("of.stage") + 1).otherwise(0).alias("stage")
-        new = written(per.where("met = n").select("conv_id", "call_id", F.struct(at, stage).alias("key")), "released")
+        new = written(per.where("met = n").select("conv_id", "call_id", "nth", F.struct(at, stage).alias("key")), "released")
         if new.isEmpty():
             break
         waits = written(waits.alias("w").join(new.alias("d"), _same("w", "d"), "left_anti"), "waits")
         done = done.unionByName(new)
-    circle = waits.groupBy("conv_id", "call_id").agg(F.max("turn").alias("turn"))
-    rest = circle.select("conv_id", "call_id", F.col("turn").alias("turn_at"), F.lit(0).alias("stage"), F.lit(True).alias("circular"))
-    return done.select("conv_id", "call_id", "key.*", F.lit(False).alias("circular")).unionByName(rest)
+    circle = waits.groupBy("conv_id", "call_id", "nth").agg(F.max("turn").alias("turn"))
+    rest = circle.select("conv_id", "call_id", "nth", F.col("turn").alias("turn_at"), F.lit(0).alias("stage"), F.lit(True).alias("circular"))
+    return done.select("conv_id", "call_id", "nth", "key.*", F.lit(False).alias("circular")).unionByName(rest)
 
 
 def format_chats(messages: DataFrame, schemas: dict) -> DataFrame:
     """A line per message, call and result.
 
     Columns: conv_id, turn_at, stage, place, part (sorting by these gives the order), kind,
-    call_id, copies (rows that said the same identifier), problems, json.
+    call_id, copies (rows that said the same identifier), problems, json, repeats (lines of
+    results that no call is left for).
     """
     plain, calls, results = parse(messages)
-    first = F.min(F.struct("turn", "place", F.col("c.name"), F.col("c.arguments"), F.col("c.after"))).alias("call")
-    calls = written(calls.groupBy("conv_id", "call_id").agg(first, F.count("*").alias("copies")), "calls")
-    results = results.groupBy("conv_id", "call_id").agg(
-        F.min(F.struct("turn", "content")).alias("result"), F.count("*").alias("results")
-    )
+    calls = written(numbered(calls), "calls")
+    results = dealt(results, calls)
     order = ordered(calls)
     linked = calls.alias("c").join(results.alias("r"), _same("c", "r"), "full_outer").select(
         F.coalesce("c.conv_id", "r.conv_id").alias("conv_id"),
         F.coalesce("c.call_id", "r.call_id").alias("call_id"),
+        F.coalesce("c.nth", "r.nth").alias("nth"),
         "call",
         "copies",
         "result",
         "results",
+        "repeats",
     )
     linked = linked.alias("l").join(order.alias("o"), _same("l", "o"), "left").select("l.*", "turn_at", "stage", "circular")
     linked = written(linked.withColumn("checked", F.when(F.col("call").isNotNull(), _check(schemas))), "linked")
@@ -221,6 +310,7 @@ def format_chats(messages: DataFrame, schemas: dict) -> DataFrame:
             "checked.faults",
         ).alias("problems"),
         F.col("checked.json").alias("json"),
+        F.array().cast("array<string>").alias("repeats"),
     )
     result_lines = linked.where(F.col("result").isNotNull()).select(
         "conv_id",
@@ -233,6 +323,7 @@ def format_chats(messages: DataFrame, schemas: dict) -> DataFrame:
         F.col("results").alias("copies"),
         noted((F.col("call").isNull(), "no call"), (F.col("results") > 1, "repeated")).alias("problems"),
         _line("tool_call_id", F.col("call_id"), F.coalesce("result.content", F.lit(""))).alias("json"),
+        "repeats",
     )
     message_lines = plain.select(
         "conv_id",
@@ -244,6 +335,7 @@ def format_chats(messages: DataFrame, schemas: dict) -> DataFrame:
         F.lit(None).cast("string").alias("call_id"),
         F.lit(1).cast("long").alias("copies"),
         F.array().cast("array<string>").alias("problems"),
-        _line("role", F.col("role").cast("string"), F.col("text")).alias("json"),
+        _spoken().alias("json"),
+        F.array().cast("array<string>").alias("repeats"),
     )
     return message_lines.unionByName(call_lines).unionByName(result_lines)

@@ -94,6 +94,61 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert got[0].json == '{"content":"hi","role":"user"}'
 
 
+def test_repeated_identifiers_keep_every_call_and_result(spark):
+    rows = [
+        (1, 1, "assistant", calls(call("0", query="a", limit=1), call("1", after=["0"], query="b", limit=1))),
+        (1, 2, "tool", result("0", "r0")),
+        (1, 3, "tool", result("1", "r1")),
+        (1, 5, "assistant", calls(call("0", query="c", limit=1), call("1", after=["0"], query="d", limit=1))),
+        (1, 6, "tool", result("0", "s0")),
+        (1, 7, "tool", result("0", "over")),
+        (1, 8, "tool", result("gone", "x")),
+        (1, 9, "tool", result("gone", "y")),
+        (2, 1, "assistant", calls(call(None, query="p", limit=1), call(None, query="q", limit=1))),
+        (2, 3, "assistant", calls(call(None, query="r", limit=1))),
+        (None, 1, "assistant", calls(call(None, query="s", limit=1))),
+        (None, 1, "assistant", calls(call(None, query="t", limit=1))),
+    ]
+    got = lines(chat.format_chats(spark.createDataFrame(rows, MESSAGE), TOOLS))
+    view = [
+        (r.conv_id, r.turn_at, r.stage, r.call_id, json.loads(r.json).get("content") or json.loads(r.json)["arguments"]["query"], r.copies, r.problems, r.repeats)
+        for r in got
+    ]
+    over = ['{"content":"over","tool_call_id":"0"}']
+    assert view == [
+        (None, 1, 0, None, "s", 2, ["no result", "repeated"], []),
+        (None, 1, 0, None, "t", 2, ["no result", "repeated"], []),
+        (1, 1, 0, "0", "a", 2, ["repeated"], []),
+        (1, 1, 0, "0", "r0", 3, ["repeated"], []),
+        (1, 1, 1, "1", "b", 2, ["repeated"], []),
+        (1, 1, 1, "1", "r1", 1, [], []),
+        (1, 5, 0, "0", "c", 2, ["repeated"], []),
+        (1, 5, 0, "0", "s0", 3, ["repeated"], over),
+        (1, 5, 1, "1", "d", 2, ["no result", "repeated"], []),
+        (1, 8, 0, "gone", "x", 2, ["no call", "repeated"], []),
+        (1, 9, 0, "gone", "y", 2, ["no call", "repeated"], []),
+        (2, 1, 0, None, "p", 1, ["no result"], []),
+        (2, 1, 0, None, "q", 1, ["no result"], []),
+        (2, 3, 0, None, "r", 1, ["no result"], []),
+    ]
+
+
+def test_what_is_said_beside_calls_and_results_stays(spark):
+    told = {"tool_calls": [call("a", query="x", limit=1)]}
+    rows = [
+        (1, 1, "assistant", json.dumps(told | {"content": "Let me look."})),
+        (1, 2, "tool", json.dumps({"tool_call_id": "a", "content": "ok", "cost": 3})),
+        (1, 3, "assistant", json.dumps(told | {"content": None})),
+        (1, 4, "assistant", json.dumps(told | {"content": "", "why": "b"})),
+    ]
+    got = chat.format_chats(spark.createDataFrame(rows, MESSAGE), TOOLS).where("kind = 'message'")
+    assert [(r.turn_at, json.loads(r.json)) for r in lines(got)] == [
+        (1, {"role": "assistant", "content": "Let me look."}),
+        (2, {"role": "tool", "content": '{"cost":3}'}),
+        (4, {"role": "assistant", "content": '{"content":"","why":"b"}'}),
+    ]
+
+
 def test_odd_messages(spark):
     rows = [
         (None, None, None, None),
