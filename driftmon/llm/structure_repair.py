@@ -100,6 +100,9 @@ class Lattice:
                 self.prices[place][2:] = FAR, FAR
                 self.settled[place][2:] = True, True
         for place in range(n, -1, -1):
+            if place < n:  # no way on is cheaper than the cheapest of the next place
+                low = min(self.prices[place + 1])
+                self.prices[place] = [max(p, low) for p in self.prices[place]]
             for state in range(STATES):
                 self._auction(place, state)
 
