@@ -49,6 +49,7 @@ class Encoder(dict):
         lines = open(vocabulary(name), "rb").read().split(b"\n")
         ranks = {base64.b64decode(k): int(v) for k, v in (line.split() for line in lines if line)}
         merges = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._ranks = ranks
         self._encode, self._one = merges.encode_ordinary, merges._core_bpe.encode_single_piece
         self._spaced = regex.compile(r"\s\s|^\s|\s$")
         self._split = regex.compile(r"(?<=\S) (?=\S)").split
@@ -72,6 +73,19 @@ class Encoder(dict):
         first = np.array(self._encode(words[0]), "<u4").tobytes()
         return first + b"".join(map(self.__getitem__, words[1:]))
 
+    def spaced(self, text: str) -> bytes:
+        """Ids of a space and the text, in which the special token's string is ordinary text."""
+        if self._spaced.search(text):
+            return self._plain(" " + text)
+        return b"".join(map(self.__getitem__, text.split(" ")))
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of each id."""
+        out = [SPECIAL.encode()] * (max(SPECIAL_ID, *self._ranks.values()) + 1)
+        for token, i in self._ranks.items():
+            out[i] = token
+        return out
+
     def ids(self, text: str) -> bytes:
         if not text:
             return b""

@@ -14,6 +14,7 @@ from driftmon.llm import (
     secret_scan,
     simhash,
     structure_repair,
+    token_align,
     token_counts,
     toxicity,
 )
@@ -157,6 +158,10 @@ def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure_repair.with_all(conversations.select("conv_id").distinct(), repaired)
 
 
+def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.token_alignment(table(spark, sf_dir, "documents"))
+
+
 def op13_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(rule_ledger.ledger(table(spark, sf_dir, "documents")), "ledger")
     base = rule_ledger.rejects(rule_ledger.BASE).alias("base_failed")
@@ -180,6 +185,7 @@ OPERATORS = {
         op9_language,
         op10_chat,
         op11_structure_repair,
+        op12_token_align,
         op13_rule_ledger,
     )
 }
