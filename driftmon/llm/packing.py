@@ -10,7 +10,9 @@ other. Only id and text are read.
 """
 
 import base64
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,6 +34,14 @@ MARKS = "!#$%&()*,-./:;?@_|"
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as unsigned 32-bit numbers, little-endian."""
+    out = array("I", ids)
+    if sys.byteorder != "little":
+        out.byteswap()
+    return out.tobytes()
+
+
 class Encoder(dict):
     """Text to ids (little-endian unsigned 32-bit), as the byte-level BPE file gives them.
 
@@ -50,6 +60,7 @@ class Encoder(dict):
         ranks = {base64.b64decode(k): int(v) for k, v in (line.split() for line in lines if line)}
         merges = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._ranks = ranks
+        self._tails: dict[str, bytes] = {}  # short runs of MARKS
         self._encode, self._one = merges.encode_ordinary, merges._core_bpe.encode_single_piece
         self._spaced = regex.compile(r"\s\s|^\s|\s$")
         self._split = regex.compile(r"(?<=\S) (?=\S)").split
@@ -58,19 +69,27 @@ class Encoder(dict):
         stem = word.rstrip(MARKS)
         if stem.isalpha() and max(stem) < "\u0250":  # letters are one pre-token, the marks after them another
             if stem != word:
-                return self[stem] + np.array(self._encode(word[len(stem) :]), "<u4").tobytes()
-            ids = np.array(self._one(f" {word}".encode()), "<u4").tobytes()
+                return self[stem] + self._tail(word[len(stem) :])
+            ids = packed(self._one(f" {word}".encode()))
         else:
-            ids = np.array(self._encode(" " + word), "<u4").tobytes()
+            ids = packed(self._encode(" " + word))
         if len(self) > CACHE:
             self.clear()
         if len(word) < 100:
             self[word] = ids
         return ids
 
+    def _tail(self, marks: str) -> bytes:
+        ids = self._tails.get(marks)
+        if ids is None:
+            ids = packed(self._encode(marks))
+            if len(marks) < 5:
+                self._tails[marks] = ids
+        return ids
+
     def _plain(self, text: str) -> bytes:
         words = self._split(text) if self._spaced.search(text) else text.split(" ")
-        first = np.array(self._encode(words[0]), "<u4").tobytes()
+        first = packed(self._encode(words[0]))
         return first + b"".join(map(self.__getitem__, words[1:]))
 
     def spaced(self, text: str) -> bytes:
@@ -91,7 +110,7 @@ class Encoder(dict):
             return b""
         if SPECIAL not in text:
             return self._plain(text)
-        special = np.array([SPECIAL_ID], "<u4").tobytes()
+        special = packed([SPECIAL_ID])
         return special.join(self._plain(part) if part else b"" for part in text.split(SPECIAL))
 
 
@@ -117,7 +136,7 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(ranks).ids
-        end = np.array([END], "<u4").tobytes()
+        end = packed([END])
         # Written before it is used: a lost task draws the same lots again.
         lots = np.random.default_rng(TaskContext.get().partitionId())
         step = 4 * length

@@ -19,7 +19,6 @@ from driftmon.llm import (
     toxicity,
 )
 from driftmon.llm.common import crc_mod, table
-from driftmon.session import written
 from driftmon.llm.labelled import labelled
 
 QUALITY_FOLDS, QUALITY_HELD = 3, 1
@@ -163,7 +162,7 @@ def op12_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = written(rule_ledger.ledger(table(spark, sf_dir, "documents")), "ledger")
+    rows = rule_ledger.ledger(table(spark, sf_dir, "documents"))
     base = rule_ledger.rejects(rule_ledger.BASE).alias("base_failed")
     judged = rule_ledger.apply_policy(rows, rule_ledger.POLICIES[-1])
     return judged.select(

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftmon.llm.common import whole
+from driftmon.session import written
 
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]"
@@ -128,8 +129,9 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return starts.withColumn("n_repeat_words", F.coalesce(total, F.lit(0).cast("long"))).select("doc_id", *MEASURES)
 
 
-def ledger(docs: DataFrame, rules=RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, MEASURES and `failed`: bit i is set if the document fails rule i (63 at most)."""
+def judged(docs: DataFrame, rules=RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of a ledger, not yet stored. A filter on them would be evaluated below the steps
+    of `measured`, and these again for every word: store them first."""
     bits = [F.when(F.expr(r.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, r in enumerate(rules)]
     failed = bits[0]
     for bit in bits[1:]:
@@ -137,6 +139,12 @@ def ledger(docs: DataFrame, rules=RULES, doc_id: str = "doc_id", text: str = "te
     return measured(docs, doc_id, text).withColumn("failed", failed)
 
 
+def ledger(docs: DataFrame, rules=RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, MEASURES and `failed`: bit i is set if the document fails rule i (63 at most). A
+    written table."""
+    return written(judged(docs, rules, doc_id, text), "ledger")
+
+
 def rejects(policy: Policy, rules=RULES, failed: str = "failed") -> Column:
     """Whether a policy rejects a ledger row, from its bits alone."""
     soft = F.bit_count(F.col(failed).bitwiseAND(F.lit(mask(policy.soft, rules)).cast("long")))
@@ -153,14 +161,13 @@ def apply_policy(rows: DataFrame, policy: Policy, rules=RULES) -> DataFrame:
 
 
 def keep_by_rules(docs: DataFrame, rows: DataFrame, policy: Policy, doc_id: str = "doc_id", rules=RULES) -> DataFrame:
-    """The documents, with all their columns, whose id a policy keeps in a stored ledger.
+    """The documents, with all their columns, whose id a policy keeps in a ledger.
 
     Of rows with one id all must be kept; a null id names no document and goes.
     """
-    alias = "k_id"
-    verdicts = rows.groupBy(F.col("doc_id").alias(alias)).agg(F.bool_or(rejects(policy, rules)).alias("k_gone"))
-    kept = verdicts.where("not k_gone").select(alias).alias("k")
-    return docs.alias("d").join(kept, F.col(f"k.{alias}") == F.col(f"d.`{doc_id}`"), "left_semi")
+    verdicts = rows.groupBy(F.col("doc_id").alias("k_id")).agg(F.bool_or(rejects(policy, rules)).alias("k_gone"))
+    kept = verdicts.where("not k_gone").select("k_id").alias("k")
+    return docs.alias("d").join(kept, F.col("k.k_id") == F.col(f"d.`{doc_id}`"), "left_semi")
 
 
 def ablations(rows: DataFrame, policies=POLICIES, rules=RULES) -> DataFrame:

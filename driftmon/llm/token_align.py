@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from driftmon.llm.common import whole
-from driftmon.llm.packing import encoder
+from driftmon.llm.packing import encoder, packed
 from driftmon.llm.token_counts import SPACE, vocabulary
 from driftmon.session import written
 
@@ -43,7 +43,7 @@ NEAR = 4  # steps from the middle tried for all intervals together
 class PieceEncoder(dict):
     """Words and the spaces before them to ids (little-endian unsigned 32-bit). No piece holds a
     space after another character, so they encode apart; each distinct one is merged once while
-    it is in the cache."""
+    it is in the cache. A word that its pieces do not give back is counted in `lost` each time."""
 
     def __init__(self, name: str):
         import sentencepiece
@@ -56,19 +56,26 @@ class PieceEncoder(dict):
         self.bytes = [
             bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
-        self._skip = 4 * len(model.encode(BREAK))
+        self._skip = len(model.encode(BREAK))
+        self.lost = 0
         self._word = re.compile(" +[^ ]*").findall
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.model.encode(BREAK + word), "<u4").tobytes()[self._skip :]
-        if len(self) > CACHE:
-            self.clear()
-        if len(word) < 100:
+        pieces = self.model.encode(BREAK + word)[self._skip :]
+        ids = packed(pieces)
+        if b"".join(map(self.bytes.__getitem__, pieces)) != word.encode():
+            self.lost += 1
+        elif len(word) < 100:
+            if len(self) > CACHE:
+                self.clear()
             self[word] = ids
         return ids
 
-    def ids(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self._word(" " + text.replace(SPACE, " "))))
+    def ids(self, text: str) -> bytes | None:
+        """None where the pieces do not give back a space and the text."""
+        before = self.lost
+        ids = b"".join(map(self.__getitem__, self._word(" " + text)))
+        return ids if self.lost == before and SPACE not in text else None
 
 
 class Pair:
@@ -76,8 +83,10 @@ class Pair:
 
     def __init__(self, ranks: str, pieces: str):
         self.first, self.second = encoder(ranks), PieceEncoder(pieces)
-        self.first_bytes = self.first.token_bytes()
-        self.lengths = [np.array([*map(len, b)], np.int64) for b in (self.first_bytes, self.second.bytes)]
+        first = self.first.token_bytes()
+        if not {bytes([i]) for i in range(256)} <= set(first):
+            raise ValueError("a byte is no token of this vocabulary")
+        self.lengths = [np.array([*map(len, b)], np.int64) for b in (first, self.second.bytes)]
         a, b = (range(len(x)) for x in self.lengths)
         # How a token is written: its id and what follows it inside and at the end of its group.
         self.shown = [f"{i}{c}" for c in ",|" for i in a] + [f"{i}{c}" for c in ",;" for i in b]
@@ -87,13 +96,11 @@ class Pair:
         none = np.empty(0, np.int64)
         if not text:
             return none, none
-        a = np.frombuffer(self.first.spaced(text), "<u4").astype(np.int64)
-        b = np.frombuffer(self.second.ids(text), "<u4").astype(np.int64)
-        body = b" " + text.encode()
-        for ids, known in ((a, self.first_bytes), (b, self.second.bytes)):
-            if b"".join(map(known.__getitem__, ids.tolist())) != body:
-                return none, none
-        return a, b
+        b = self.second.ids(text)
+        if b is None:
+            return none, none
+        # Byte-level ranks hold every byte, so the first tokenizer gives back any text.
+        return tuple(np.frombuffer(x, "<u4").astype(np.int64) for x in (self.first.spaced(text), b))
 
 
 @lru_cache(maxsize=2)
@@ -101,18 +108,18 @@ def pair(ranks: str, pieces: str) -> Pair:
     return Pair(ranks, pieces)
 
 
-def shared_cuts(ea: np.ndarray, eb: np.ndarray, a_stops: np.ndarray, b_stops: np.ndarray) -> np.ndarray:
-    """Which ends of the first tokenizer are ends of the second. `ea`, `eb`: ends, rising over
+def shared_cuts(ea: np.ndarray, eb: np.ndarray, a_stops: np.ndarray, b_stops: np.ndarray):
+    """For each tokenizer, which of its ends are ends of the other. `ea`, `eb`: ends, rising over
     all texts; `*_stops`: tokens up to the end of each text, whose ends are cuts already."""
-    cut = np.zeros(len(ea), bool)
-    cut[a_stops - 1] = True
+    cut_a, cut_b = np.zeros(len(ea), bool), np.zeros(len(eb), bool)
+    cut_a[a_stops - 1], cut_b[b_stops - 1] = True, True
     a0, b0 = np.r_[0, a_stops[:-1]], np.r_[0, b_stops[:-1]]
     a1, b1 = a_stops, b_stops
     while True:
         wide = (a1 - a0 > 1) & (b1 - b0 > 1)  # a single token has no end inside its interval
         a0, a1, b0, b1 = a0[wide], a1[wide], b0[wide], b1[wide]
         if not len(a0):
-            return cut
+            return cut_a, cut_b
         middle = (a0 + a1 - 2) >> 1
         at, met = np.full(len(a0), -1), np.full(len(a0), -1)
         left = np.arange(len(a0))
@@ -136,9 +143,14 @@ def shared_cuts(ea: np.ndarray, eb: np.ndarray, a_stops: np.ndarray, b_stops: np
                 at[i], met[i] = a0[i] + best, place[best]
         found = at >= 0
         at, met = at[found], met[found]
-        cut[at] = True
-        a0, a1 = np.r_[a0[found], at + 1], np.r_[at + 1, a1[found]]
-        b0, b1 = np.r_[b0[found], met + 1], np.r_[met + 1, b1[found]]
+        cut_a[at], cut_b[met] = True, True
+        # Both halves side by side: intervals stay in order, and bisecting finds them in cache.
+        a0, a1 = _beside(a0[found], at + 1), _beside(at + 1, a1[found])
+        b0, b1 = _beside(b0[found], met + 1), _beside(met + 1, b1[found])
+
+
+def _beside(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.stack((left, right), 1).ravel()
 
 
 def aligned(texts: list[str], both: Pair) -> dict:
@@ -150,14 +162,14 @@ def aligned(texts: list[str], both: Pair) -> dict:
     ea, eb = np.cumsum(both.lengths[0][a]), np.cumsum(both.lengths[1][b])
     full = n_a > 0
     a_stops, b_stops = np.cumsum(n_a), np.cumsum(n_b)
-    cut_a = shared_cuts(ea, eb, a_stops[full], b_stops[full])
-    cut_b = np.zeros(len(b), bool)
-    cut_b[np.searchsorted(eb, ea[cut_a])] = True
+    cut_a, cut_b = shared_cuts(ea, eb, a_stops[full], b_stops[full])
     groups = np.r_[0, np.cumsum(cut_a)]
     n_groups = groups[a_stops] - groups[a_stops - n_a]
-    # Between two neighbouring ends of either tokenizer lies one overlap of one token of each.
-    ends = np.sort(np.r_[ea, eb[~cut_b]], kind="stable")
-    pairs = a[np.searchsorted(ea, ends)] << B_BITS | b[np.searchsorted(eb, ends)]
+    # Between two neighbouring ends of either tokenizer lies one overlap of one token of each;
+    # an end is marked with whose token it ends: 1 the first's, 2 the second's, 3 both.
+    ends = np.sort(np.r_[ea << 2 | 1 + 2 * cut_a, eb[~cut_b] << 2 | 2], kind="stable")
+    past_a, past_b = ends & 1, ends >> 1 & 1
+    pairs = a[np.cumsum(past_a) - past_a] << B_BITS | b[np.cumsum(past_b) - past_b]
     n_links = n_a + n_b - n_groups
     keys, times = np.unique(np.repeat(np.arange(len(texts)), n_links) << (2 * B_BITS) | pairs, return_counts=True)
     return {
