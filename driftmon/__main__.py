@@ -122,6 +122,7 @@ def monitor(spark, args, store):
         args.late,
         args.threshold,
         trigger(args),
+        store.spells,
     )
     query.awaitTermination()
     rejects.awaitTermination() if args.once else rejects.stop()

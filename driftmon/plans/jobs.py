@@ -1,6 +1,7 @@
 """Train, test, promote, and the cycle that ties them together."""
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +71,10 @@ class Store:
     def alerts(self):
         return self.path("alerts")
 
+    @property
+    def spells(self):
+        return self.path("spells")
+
     def model(self, run_id: str) -> str:
         return self.path(f"models/{run_id}")
 
@@ -82,6 +87,12 @@ def notes(*pairs: tuple[bool, str]) -> str | None:
     return "; ".join(text for holds, text in pairs if holds) or None
 
 
+def named(run_id: str | None, started: datetime | None = None) -> dict:
+    """What the caller of a job has settled about its run."""
+    given = {"run_id": run_id, "start_time": started}
+    return {k: v for k, v in given.items() if v is not None}
+
+
 def labelled(df: DataFrame) -> DataFrame:
     """Rows a model can learn from; a missing label would fail the fit."""
     return df.where(F.col("label").isNotNull() & ~F.isnan("label"))
@@ -108,6 +119,7 @@ def train(
     store: Store,
     kind: str = "classifier",
     by: str | int | None = None,
+    run_id: str | None = None,
     **params,
 ) -> dict:
     """Fit on the earlier 70 %, measure, save the model, log the run.
@@ -128,7 +140,7 @@ def train(
     try:
         low, high = early.agg(F.min("label"), F.max("label")).first()
         model = models.fit(early, kind, by, **params)
-        run = runs.new_run("train")
+        run = runs.new_run("train", **named(run_id))
         run["artifact_uri"] = store.model(run["run_id"])
         if kind == "classifier":
             run["auc"] = auc(models.score(model, late)).first()["auc"]
@@ -163,18 +175,21 @@ def test(
     store: Store,
     batch_id: int,
     threshold: float = AUC_THRESHOLD,
+    run_id: str | None = None,
+    started: datetime | None = None,
 ) -> dict:
     """Score the table, compare with the baseline run, store verdict rows, log the run.
 
     The scored rows are written first and measured from what was written, so the
-    verdict belongs to exactly the rows that carry it. `table` holds a key once.
+    verdict belongs to exactly the rows that carry it. `table` holds a key once. Tried again
+    under its `run_id`, a test replaces its batch and adds no second alert or run.
     """
     scored, path, incomplete = _scored(spark, table, baseline)
     measured = auc(scored).withColumn(
         "drift", auc_drift(F.col("auc"), F.lit(baseline["auc"]).cast("double"), threshold)
     )
     result = measured.first()
-    run = runs.new_run("test", auc=result["auc"], drift=result["drift"])
+    run = runs.new_run("test", auc=result["auc"], drift=result["drift"], **named(run_id, started))
     run["note"] = notes(
         (result["drift"] is None, "no verdict: a metric is missing"),
         (result["dropped"] > 0, f"{result['dropped']} rows without a label were not measured"),
@@ -196,7 +211,7 @@ def log_alert(spark: SparkSession, store: Store, run: dict, baseline: dict, metr
         "drift boolean",
     )
     if run["drift"]:
-        alerts(verdict).select(*ALERT.names).write.mode("append").parquet(store.alerts)
+        runs.commit(alerts(verdict).select(*ALERT.names), store.alerts, run["run_id"])
 
 
 def test_rmse(
@@ -206,27 +221,26 @@ def test_rmse(
     store: Store,
     out: str | None = None,
     factor: float = RMSE_FACTOR,
+    run_id: str | None = None,
+    started: datetime | None = None,
 ) -> dict:
-    """RMSE variant: rows are stored, with the run's stamp, only when drift was found."""
+    """RMSE variant: rows are stored, with the run's stamp, only when drift was found, and once
+    under the run's id, however often the job is tried. `started` is the stamp, by default now."""
     scored, path, incomplete = _scored(spark, table, baseline)
     measured = rmse(scored).withColumn(
         "drift", rmse_drift(F.col("rmse"), F.lit(baseline["rmse"]).cast("double"), factor)
     )
     result = measured.first()
     unlabelled = scored.count() - result["rows"]
-    run = runs.new_run("test", rmse=result["rmse"], drift=result["drift"])
+    run = runs.new_run("test", rmse=result["rmse"], drift=result["drift"], **named(run_id, started))
     run["note"] = notes(
         (result["drift"] is None, "no verdict: a metric is missing"),
         (unlabelled > 0, f"{unlabelled} rows without a label were not measured"),
         (incomplete > 0, f"{incomplete} rows with a missing feature were not scored"),
     )
     if run["drift"]:
-        (
-            scored.withColumn("test_timestamp", F.lit(run["start_time"]))
-            .select(*RMSE_ROW)
-            .write.mode("append")
-            .parquet(out or store.drifted)
-        )
+        rows = scored.withColumn("test_timestamp", F.lit(run["start_time"])).select(*RMSE_ROW)
+        runs.commit(rows, out or store.drifted, run["run_id"])
     log_alert(spark, store, run, baseline, "rmse")
     runs.log_run(spark, store.runs, run)
     discard(spark, path)

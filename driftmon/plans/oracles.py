@@ -169,6 +169,14 @@ SELECT "timestamp", CAST(CAST(feature_1 AS FLOAT) AS DOUBLE) AS feature_1 FROM s
         ", label", ", CASE WHEN label = 1 THEN 2.0::DOUBLE ELSE label END AS label"
     )
     + " FROM ev",
+    "catalog_after_promote": f"""WITH {EVENTS}, stored AS (
+  SELECT * REPLACE (CAST(CASE WHEN CAST(id AS BIGINT) % 3 = 2 THEN 2
+    WHEN label = 1 THEN CAST(id AS BIGINT) % 3 + 1 ELSE CAST(id AS BIGINT) % 3 END AS DOUBLE) AS label) FROM ev)
+SELECT """
+    + STORED.format(time="date_trunc('millisecond', \"timestamp\")")
+    + " FROM stored WHERE label > 0",
+    "compacted_scan": LATEST_ITEMS,
+    "reclaimed_scan": LATEST_ITEMS,
     "reject_bad_ids": f"""WITH {EVENTS}
 SELECT CASE WHEN label = 1 THEN id ELSE
   substr(md5(id), 1, 8) || '-' || substr(md5(id), 9, 4) || '-' || substr(md5(id), 13, 4)
@@ -218,7 +226,8 @@ FROM sea""",
 SELECT blk, round(train_rmse, 9) AS train_rmse, round(test_rmse, 9) AS test_rmse, drift
 FROM verdicts""",
     "rmse_conditional_rows": f"""WITH {_block_rmse(STEPS, "steps")}
-SELECT id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp"
+SELECT id, TIMESTAMP '2024-04-12' + to_days(CAST(blk AS INTEGER)) AS test_timestamp, label,
+  hard AS prediction, feature_0, feature_1, feature_2, "timestamp"
 FROM steps JOIN verdicts USING (blk) WHERE drift""",
     "verdict_table": f"{VERDICT_ROWS} SELECT * FROM rows_out",
     "verdict_retest": f"""WITH {_block_aucs("hard")}
@@ -274,6 +283,15 @@ FROM steps, range(3) WHERE blk IN (2, 3) GROUP BY range""",
     "stream_ingest": f"WITH {EVENTS} SELECT "
     + STORED.format(time="date_trunc('millisecond', \"timestamp\")")
     + " FROM ev",
+    "monitor_spells": f"""{WINDOWS}, closed AS (
+  SELECT *, coalesce(abs(test_auc - train_auc) > 0.01::DOUBLE, false) AS moved FROM windows
+  WHERE window_end <= (SELECT max("timestamp") FROM ev) - INTERVAL 10 MINUTE),
+islands AS (
+  SELECT *, sum(CASE WHEN moved THEN 0 ELSE 1 END) OVER (ORDER BY window_start) AS island,
+    max(window_end) OVER () AS last FROM closed)
+SELECT min(window_start) AS "begin", max(window_end) AS "end", count(*) AS windows,
+  round(max(abs(test_auc - train_auc)), 9) AS worst, max(window_end) = max(last) AS open
+FROM islands WHERE moved GROUP BY island""",
     "stream_monitor": f"""{WINDOWS} SELECT * FROM windows
 WHERE window_end <= (SELECT max("timestamp") FROM ev) - INTERVAL 10 MINUTE""",
 }

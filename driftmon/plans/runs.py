@@ -5,7 +5,9 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from driftmon import storage
 from driftmon.functions.rules import known
 from driftmon.schemas import RUN, RUNS_BEFORE_PROMOTION
 
@@ -20,19 +22,42 @@ def new_run(kind: str, **fields) -> dict:
     return run | fields
 
 
-def log_run(spark: SparkSession, path: str, run: dict) -> None:
-    log_runs(spark.createDataFrame([tuple(run[c] for c in RUN.names)], RUN).coalesce(1), path)
+def commit(rows: DataFrame, path: str, run_id: str) -> bool:
+    """Add the rows of a run to a table, once: they are staged and then take the run's place.
 
+    A job that is tried again under its run id finds the place taken and adds nothing; a job
+    that died before has left nothing that a reader sees. Says whether the rows were added.
+    """
+    spark = rows.sparkSession
+    place, staged = f"{path}/run={run_id}", f"{path}.staged/{uuid4().hex}"
+    if storage.exists(spark, place):
+        return False
+    rows.write.parquet(staged)
+    added = storage.rename(spark, staged, place)
+    if not added:
+        storage.delete(spark, staged)
+    return added
 
-def log_runs(runs: DataFrame, path: str) -> None:
-    """Append runs; columns the log has and they lack stay empty."""
+
+def committed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows of all runs of a table."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def log_run(spark: SparkSession, path: str, run: dict) -> bool:
+    row = spark.createDataFrame([tuple(run[c] for c in RUN.names)], RUN).coalesce(1)
+    return commit(row, path, run["run_id"])
+
+
+def log_runs(runs: DataFrame, path: str, batch: str | None = None) -> bool:
+    """Add runs under the name of their batch; columns the log has and they lack stay empty."""
     have = set(runs.columns)
     cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in RUN]
-    runs.select(*cols).write.mode("append").parquet(path)
+    return commit(runs.select(*cols), path, batch or uuid4().hex)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN).parquet(path)
+    return committed(spark, path, RUN)
 
 
 def latest_run(runs: DataFrame) -> DataFrame:

@@ -93,6 +93,19 @@ ALERT = StructType(
     ]
 )
 
+# A spell: neighbouring windows with drift. `worst` is the largest distance from the baseline;
+# an open spell may go on with the next window.
+SPELL = StructType(
+    [
+        StructField("begin", TimestampType()),
+        StructField("end", TimestampType()),
+        StructField("windows", LongType()),
+        StructField("worst", DoubleType()),
+        StructField("open", BooleanType()),
+    ]
+)
+SPELL_KEY = ["begin"]
+
 WINDOW_VERDICT = StructType(
     [
         StructField("window_start", TimestampType()),

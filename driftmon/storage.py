@@ -36,6 +36,29 @@ def write_line(spark: SparkSession, path: str, line: str) -> None:
         out.close()
 
 
+def create_line(spark: SparkSession, path: str, line: str) -> None:
+    """A new file; fails if there is one already."""
+    fs, target = _at(spark, path)
+    out = fs.create(target, False)
+    try:
+        out.write(bytearray(line.encode()))
+    finally:
+        out.close()
+
+
+def rename(spark: SparkSession, path: str, target: str) -> bool:
+    """Move a folder to a name that nothing has; False if something has it."""
+    fs, there = _at(spark, target)
+    fs.mkdirs(there.getParent())
+    return not fs.exists(there) and fs.rename(spark._jvm.org.apache.hadoop.fs.Path(path), there)
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes in a folder."""
+    fs, target = _at(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def read_line(spark: SparkSession, path: str) -> str | None:
     fs, target = _at(spark, path)
     if not fs.exists(target):

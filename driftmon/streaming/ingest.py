@@ -4,10 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from driftmon import storage
 from driftmon.functions.codec import decode, split_rejects
 from driftmon.schemas import RECORD
-from driftmon.sources.keyed import BATCH, claim, write_batch
+from driftmon.sources.keyed import BATCH, claim, own, write_batch
 
 REJECT = StructType([StructField("raw", StringType())])
 
@@ -52,15 +51,21 @@ def start_ingest(
         lambda df, n: ingest_batch(df, n, table, rejects, schema, uuid_ids)
     )
     query = (writer.trigger(**trigger) if trigger else writer).start()
-    storage.write_line(spark, f"{table}.stream", query.id)
+    own(spark, table, query.id)
     return query
 
 
 def start_rejects(bad: DataFrame, rejects: str, checkpoint: str, trigger: dict | None = None):
-    """Keep what a stream cannot use, as JSON in `raw`, so that it can be counted."""
-    writer = (
-        bad.select(F.to_json(F.struct("*")).alias("raw"))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(**trigger) if trigger else writer).start(rejects)
+    """Keep what a stream cannot use, as JSON in `raw`, so that it can be counted. The folder
+    belongs to the checkpoint; another one, whose batches would replace these, is refused."""
+    spark = bad.sparkSession
+    claim(spark, rejects, checkpoint)
+
+    def keep(rows: DataFrame, batch_id: int):
+        rows.write.mode("overwrite").parquet(f"{rejects}/{BATCH}={batch_id}")
+
+    raw = bad.select(F.to_json(F.struct("*")).alias("raw"))
+    writer = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(keep)
+    query = (writer.trigger(**trigger) if trigger else writer).start()
+    own(spark, rejects, query.id)
+    return query

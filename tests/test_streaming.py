@@ -1,18 +1,21 @@
 import datetime as dt
 import json
 import time
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from driftmon import storage
 from driftmon.functions.codec import decode
 from driftmon.schemas import RECORD, WINDOW_VERDICT
 from driftmon.sources.connectors import append_external, read_external, stream_external
 from driftmon.sources.keyed import read_table
 from driftmon.sources.streams import kafka_options, read_stream, show_stream, write_records
 from driftmon.streaming.ingest import ingest_batch, start_ingest
-from driftmon.streaming.monitor import LateRows, start_monitor
+from driftmon.streaming.ingest import start_rejects
+from driftmon.streaming.monitor import LateRows, log_spells, read_spells, start_monitor
 
 NOW = {"availableNow": True}
 
@@ -176,3 +179,48 @@ def test_kafka_options():
 def test_kafka_source_needs_its_connector(spark):
     with pytest.raises(Exception, match="kafka"):
         read_stream(spark, "kafka", **kafka_options("host:9092"))
+
+
+def test_another_checkpoint_is_refused(spark, folder):
+    """New offsets count batches from 0 and would replace or hide what is there."""
+    put(folder, "a.txt", [message("a", 0), message("b", 5 * 1440)])
+
+    def monitor(offsets):
+        scored = decode(read_stream(spark, "text", f"{folder}/in")).withColumn("score", F.col("feature_0"))
+        start_monitor(scored, 1.0, f"{folder}/out", offsets, trigger=NOW).awaitTermination(120)
+
+    def rejects(offsets):
+        bad = decode(read_stream(spark, "text", f"{folder}/in"))
+        start_rejects(bad, f"{folder}/bad", offsets, NOW).awaitTermination(120)
+
+    for run, kept in ((monitor, "out"), (rejects, "bad")):
+        run(f"{folder}/offsets-{kept}")
+        count = spark.read.parquet(f"{folder}/{kept}").count()
+        assert count > 0
+        with pytest.raises(ValueError, match="another checkpoint"):
+            run(f"{folder}/offsets-other")
+        run(f"{folder}/offsets-{kept}")
+        assert spark.read.parquet(f"{folder}/{kept}").count() == count
+
+
+def test_spells_go_on_over_batches_and_replays(spark, folder):
+    def day(n, drift):
+        return (datetime(2024, 5, n), datetime(2024, 5, n + 1), 1, 1, 0, 0.5, None if drift is None else 0.5 + n / 100, drift)
+
+    def put_days(batch, *days):
+        log_spells(spark.createDataFrame([day(*d) for d in days], WINDOW_VERDICT), f"{folder}/spells", batch)
+
+    def seen():
+        rows = read_spells(spark, f"{folder}/spells").orderBy("begin").collect()
+        return [(r["begin"].day, r["end"].day, r["windows"], round(r["worst"], 2), r["open"]) for r in rows]
+
+    storage.make_folder(spark, f"{folder}/spells")
+    put_days(0, (1, False), (2, True), (3, True))
+    assert seen() == [(2, 4, 2, 0.03, True)]
+    put_days(1, (4, True))
+    put_days(1, (4, True))  # replayed
+    assert seen() == [(2, 5, 3, 0.04, True)]
+    put_days(2, (5, None), (6, True), (7, False), (9, True))
+    assert seen() == [(2, 5, 3, 0.04, False), (6, 7, 1, 0.06, False), (9, 10, 1, 0.09, True)]
+    put_days(3, (10, False))
+    assert seen()[-1] == (9, 10, 1, 0.09, False)
