@@ -15,6 +15,7 @@ Offsets are code points, ends exclusive. Null and empty texts have no spans.
 
 import base64
 import binascii
+import codecs
 import json
 import re
 from bisect import bisect_right
@@ -40,12 +41,15 @@ BASE = {
 }
 KINDS = [*BASE, "jwt", "der", "ssh"]
 _WORDS = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)
-_JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
+_HEADER = re.compile("eyJ")  # how a JSON object begins in base64, after whatever character
+_PART = re.compile("[A-Za-z0-9_-]+")
+_PARTS = re.compile(r"\.([A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
 _KEY = re.compile(r"M(?=[A-I][A-Za-z0-9+/_-]{22})|b(?=3BlbnNzaC1rZXktdjEA)")  # how they begin in base64
 _RUN = re.compile(r"[A-Za-z0-9+/_-]+(?:(?:(?:\\+r)?\\+n|\r?\n)[ \t]*[A-Za-z0-9+/_-]+)*")
 _LINE = re.compile(r"(?:(?:\\+r)?\\+n|\r?\n)[ \t]*|([A-Za-z0-9+/_-]+)")
 _PADDING = re.compile("={0,2}")
-_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
+_HEX = re.compile(r"[0-9A-Fa-f]{2}(?::[0-9A-Fa-f]{2}){23,}|[0-9A-Fa-f]{48,}")
+_SEQUENCE = re.compile("(?=30)")
 _GAPS = re.compile(r"\\n|\s")
 SSH_MAGIC = b"openssh-key-v1\0"
 
@@ -206,6 +210,52 @@ def is_signed_token(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str)
 
 
+def opens(part: str) -> bool:
+    """Whether what a header begins with can begin JSON text."""
+    start = decoded(part[:24][: len(part[:24]) // 4 * 4]) or b""
+    try:
+        codecs.getincrementaldecoder("utf-8")().decode(start)
+    except UnicodeDecodeError:
+        return False
+    return not any(b < 32 and b not in b"\t\n\r" for b in start)
+
+
+def signed_tokens(text: str) -> Iterator[tuple[str, int, int]]:
+    """Tokens whose header decodes, wherever in a run of base64 it begins; none inside another."""
+    stop, after, parts = 0, 0, None
+    for m in _HEADER.finditer(text):
+        start = m.start()
+        if start < after:
+            continue
+        if start >= stop:
+            stop = _PART.match(text, start).end()
+            parts = _PARTS.match(text, stop)
+        if parts and opens(text[start : min(start + 24, stop)]) and is_signed_token(text[start:stop], parts.group(1)):
+            after = parts.end()
+            yield "jwt", start, after
+
+
+def hex_keys(text: str) -> Iterator[tuple[str, int, int]]:
+    """Private keys in hex, plain or with colons, wherever in a run they begin."""
+    for m in _HEX.finditer(text):
+        digits = m.group().replace(":", "")
+        spread = 3 if len(digits) < len(m.group()) else 2  # characters for each byte
+        data: dict[int, memoryview] = {}
+        after = 0
+        for found in _SEQUENCE.finditer(digits):
+            at, odd = found.start(), found.start() % 2
+            if at < after or odd and spread == 3:
+                continue
+            if odd not in data:
+                data[odd] = memoryview(bytes.fromhex(digits[odd : len(digits) - (len(digits) - odd) % 2]))
+            rest = data[odd][at // 2 :]
+            size = der_size(rest)
+            if size and is_der_key(rest[:size]):
+                start = m.start() + at // 2 * spread + odd
+                after = at + 2 * size
+                yield "der", start, start + size * spread - (spread == 3)
+
+
 def spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end), by start and then by the order of KINDS."""
     found = []
@@ -213,12 +263,9 @@ def spans(text: str) -> list[tuple[str, int, int]]:
         if kind == "assign" and not _WORDS.search(text) or kind == "access" and "AKIA" not in text:
             continue
         found += [(kind, *m.span()) for m in pattern.finditer(text) if good(m)]
-    if "eyJ" in text:
-        found += [("jwt", *m.span()) for m in _JWT.finditer(text) if is_signed_token(m.group(1), m.group(2))]
+    found += signed_tokens(text)
     found += keys(text)
-    for m in _HEX.finditer(text):
-        if m.group().startswith("30") and is_der_key(bytes.fromhex(m.group())):
-            found.append(("der", *m.span()))
+    found += hex_keys(text)
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -145,3 +145,31 @@ def test_odd_rows(odd, none):
     assert len(rows) == odd.count()
     assert {r.doc_id: r.spans for r in rows if r.spans} == {10: "hex:0:50000"}
     assert scan.scan_secrets(none).count() == 0
+
+
+def test_tokens_are_found_after_any_character():
+    token = jwt({"alg": "HS256", "typ": "JWT"})
+    for before in ("\\n", "token%3D", "_", "-", "a", "x.y.", "eyJ", "eyJhbGciOiJ", "Bearer ", "\\u0022", "/"):
+        got = [s for s in scan.spans(before + token + '"') if s[0] == "jwt"]
+        assert got == [("jwt", len(before), len(before) + len(token))], before
+    both = f"{token},\\n{token}"
+    assert [s[1] for s in scan.spans(both) if s[0] == "jwt"] == [0, len(token) + 3]
+    no_header = jwt({"typ": "JWT"})
+    assert not [s for s in scan.spans(no_header) if s[0] == "jwt"]
+    assert not [s for s in scan.spans("eyJ" * 20_000 + ".a.b") if s[0] == "jwt"]
+
+
+def test_hex_keys_are_found_after_any_digit():
+    for key in (RSA, EC, WRAPPED):
+        for upper in (False, True):
+            digits = key.hex().upper() if upper else key.hex()
+            for before in ("", "ab", "a", "key ", "0x", "30", "3082"):
+                for after in ("", "00", " end"):
+                    got = [s for s in scan.spans(before + digits + after) if s[0] == "der"]
+                    assert got == [("der", len(before), len(before) + len(digits))], (before, after)
+            spread = ":".join(digits[i : i + 2] for i in range(0, len(digits), 2))
+            for before in ("", "key=", "ab:", "\\n"):
+                got = [s for s in scan.spans(before + spread + ":00") if s[0] == "der"]
+                assert got == [("der", len(before), len(before) + len(spread))], before
+    assert not [s for s in scan.spans(RSA.hex()[:-2]) if s[0] == "der"]
+    assert not [s for s in scan.spans("30" * 50_000) if s[0] == "der"]
