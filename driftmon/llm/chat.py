@@ -29,6 +29,8 @@ Malformed JSON is an ordinary message. Other columns of the messages are not rea
 
 import json
 import math
+import re
+from decimal import Decimal
 from functools import reduce
 from typing import Any
 
@@ -51,6 +53,10 @@ _KINDS = {
     "number": (int, float),
 }
 
+_HALF = re.compile("[\ud800-\udfff]")
+_CHECKS = set("type enum minimum maximum properties required additionalProperties items".split())
+_NOTES = set("title description default examples $schema $id $comment".split())
+
 
 def _plain(value: Any) -> Any:
     """Numbers in one form: a whole float is an integer; keys in UTF-16 order."""
@@ -63,23 +69,72 @@ def _plain(value: Any) -> Any:
     return [_plain(v) for v in value] if isinstance(value, list) else value
 
 
+def escaped(text: str) -> str:
+    """Halves of surrogate pairs, which no encoding can hold, as JSON escapes."""
+    return _HALF.sub(lambda m: f"\\u{ord(m.group()):04x}", text)
+
+
+def number(value: float) -> str:
+    """The shortest digits that give the number back; an exponent only below 1e-6 and for whole
+    numbers that are no exact integers (from 2^53), which must not be read back as such."""
+    sign, digits, shift = Decimal(repr(value)).normalize().as_tuple()
+    text, point = "".join(map(str, digits)), len(digits) + shift
+    if 0 < point < len(text):
+        text = f"{text[:point]}.{text[point:]}"
+    elif -6 < point <= 0:
+        text = f"0.{'0' * -point}{text}"
+    else:
+        text = f"{text[0]}{'.' if text[1:] else ''}{text[1:]}e{point - 1:+d}"
+    return "-" * sign + text
+
+
+def _written(value: Any) -> str:
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{_written(k)}:{_written(v)}" for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_written, value)) + "]"
+    if isinstance(value, float) and math.isfinite(value):
+        return number(value)
+    return json.dumps(value, ensure_ascii=False, allow_nan=False)
+
+
 def canonical(value: Any) -> str:
-    return json.dumps(_plain(value), separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return escaped(_written(_plain(value)))
+
+
+def refuse_unknown(schema: Any, at: str = "$") -> None:
+    """A keyword that `faults` does not know would pass any value: such a schema is refused."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema must be an object")
+    unknown = schema.keys() - _CHECKS - _NOTES
+    if unknown:
+        raise ValueError(f"{at}: keywords {sorted(unknown)} are not supported")
+    kinds = schema.get("type", [])
+    if not set([kinds] if isinstance(kinds, str) else kinds) <= _KINDS.keys():
+        raise ValueError(f"{at}: unknown type {kinds}")
+    if schema.get("additionalProperties", True) not in (True, False):
+        raise ValueError(f"{at}: additionalProperties must be true or false")
+    for name, part in schema.get("properties", {}).items():
+        refuse_unknown(part, f"{at}.{name}")
+    if "items" in schema:
+        refuse_unknown(schema["items"], f"{at}[]")
+
+
+def _is(value: Any, kind: str) -> bool:
+    if kind == "integer" and isinstance(value, float):
+        return value.is_integer()
+    return isinstance(value, _KINDS[kind]) and not (isinstance(value, bool) and kind in ("integer", "number"))
 
 
 def faults(value: Any, schema: dict, at: str = "$") -> list[str]:
-    """What a schema (type, enum, minimum, maximum, properties, required,
-    additionalProperties, items) has against a value."""
+    """What a schema (type or types, enum, minimum, maximum, properties, required,
+    additionalProperties, items) has against a value. Values are equal if their JSON is."""
     kind = schema.get("type")
-    good = isinstance(value, _KINDS[kind]) if kind else True
-    if isinstance(value, bool) and kind in ("integer", "number"):
-        good = False
-    if kind == "integer" and isinstance(value, float) and value.is_integer():
-        good = True
-    if not good:
-        return [f"{at}: not of type {kind}"]
+    kinds = [kind] if isinstance(kind, str) else kind
+    if kinds and not any(_is(value, k) for k in kinds):
+        return [f"{at}: not of type {' or '.join(kinds)}"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         out.append(f"{at}: not one of the values")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         if "minimum" in schema and value < schema["minimum"]:
@@ -110,7 +165,7 @@ def checked_call(call_id: str | None, name: str | None, arguments: str | None, s
         return canonical({"id": call_id, "name": name, "arguments": arguments}), ["$: not JSON"]
     if name not in schemas:
         return line, ["unknown tool"]
-    return line, faults(value, schemas[name])
+    return line, [escaped(f) for f in faults(value, schemas[name])]
 
 
 _CHECKED = pa.struct([("json", pa.string()), ("faults", pa.list_(pa.string()))])
@@ -142,6 +197,24 @@ def besides(text: str, keys: tuple[str, ...]) -> str:
         return text
 
 
+def says_more(text: str, use: str) -> bool:
+    """Whether a calling or answering message says anything beside that; a call's empty or null
+    content says nothing."""
+    try:
+        rest = {k: v for k, v in json.loads(text).items() if k not in _KEYS[use]}
+    except (AttributeError, ValueError, RecursionError):
+        return True
+    return bool(rest.keys() - ({"content"} if use == "call" and rest.get("content") in ("", None) else set()))
+
+
+def _more(use: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def more(texts: pa.Array, uses: pa.Array) -> pa.Array:
+        return pa.array([u is None or says_more(t, u) for t, u in zip(texts.to_pylist(), uses.to_pylist())], pa.bool_())
+
+    return more(F.when(use.isNotNull(), F.col("text")), use)
+
+
 _KEYS = {"call": ("tool_calls",), "result": ("tool_call_id", "content")}
 
 
@@ -165,15 +238,9 @@ def parse(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     calls = rows.where(has_calls).select("conv_id", "turn", F.posexplode("calls").alias("place", "c"))
     results = rows.where(has_result).select("conv_id", "turn", F.col("result.tool_call_id").alias("call_id"), "result.content")
 
-    def more(use: str) -> Column:
-        rest = F.array_except(F.json_object_keys("text"), F.array(*map(F.lit, _KEYS[use])))
-        silent = F.coalesce(F.get_json_object("text", "$.content"), F.lit("")) == ""
-        silent = F.array_compact(F.when(silent, F.array_remove(rest, "content")).otherwise(rest)) if use == "call" else rest
-        return F.coalesce(F.size(silent), F.lit(1)) != 0
-
-    use = F.when(has_calls, "call").when(has_result, "result").alias("use")
-    plain = rows.where(F.when(has_calls, more("call")).when(has_result, more("result")).otherwise(True))
-    return plain.select("conv_id", "turn", "role", "text", use), calls.select("conv_id", F.col("c.id").alias("call_id"), "turn", "place", "c"), results
+    used = rows.withColumn("use", F.when(has_calls, "call").when(has_result, "result"))
+    plain = used.withColumn("more", _more(F.col("use"))).where("more")
+    return plain.select("conv_id", "turn", "role", "text", "use"), calls.select("conv_id", F.col("c.id").alias("call_id"), "turn", "place", "c"), results
 
 
 def numbered(calls: DataFrame) -> DataFrame:
@@ -270,8 +337,10 @@ def format_chats(messages: DataFrame, schemas: dict) -> DataFrame:
 
     Columns: conv_id, turn_at, stage, place, part (sorting by these gives the order), kind,
     call_id, copies (rows that said the same identifier), problems, json, repeats (lines of
-    results that no call is left for).
+    results that no call is left for). A schema with keywords that are not checked is refused.
     """
+    for schema in schemas.values():
+        refuse_unknown(schema)
     plain, calls, results = parse(messages)
     calls = written(numbered(calls), "calls")
     results = dealt(results, calls)

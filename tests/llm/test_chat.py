@@ -198,3 +198,40 @@ def test_query_equals_brute_force(spark, sf_dir, given):
         for r in op10_chat(spark, sf_dir).collect()
     }
     assert got == want
+
+
+def test_half_surrogates_are_escaped_and_said(spark):
+    half = '{"query":"\\ud800"}'
+    rows = [
+        (1, 0, "assistant", '{"content":"half \\ud83d","tool_calls":[{"id":"a","name":"search","arguments":%s}]}' % json.dumps(half)),
+        (1, 1, "tool", '{"tool_call_id":"a","content":"x","more":"\\udc00"}'),
+        (1, 2, "assistant", '{"tool_calls":[{"id":"b","name":"search","arguments":"{\\"\\\\ud801\\":1}"}]}'),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    schema = {"type": "object", "properties": {"query": {"type": "string"}}, "additionalProperties": False}
+    got = chat.format_chats(frame, {"search": schema}).collect()
+    lines = {(r["kind"], r["turn_at"]): r["json"] for r in got}
+    assert json.loads(lines["call", 0])["arguments"] == {"query": "\ud800"}
+    assert json.loads(lines["message", 0])["content"] == "half \ud83d"
+    assert json.loads(json.loads(lines["message", 1])["content"]) == {"more": "\udc00"}
+    (problems,) = (r["problems"] for r in got if r["call_id"] == "b" and r["kind"] == "call")
+    assert any(p.endswith("unknown") for p in problems)
+    assert ("message", 2) not in lines
+
+
+def test_numbers_are_shortest():
+    want = {1e-7: "1e-7", 1e-6: "0.000001", 1.5e300: "1.5e+300", 1e16: "1e+16", 1e21: "1e+21", -0.25: "-0.25",
+            123456.789: "123456.789", 5e-324: "5e-324", 2.0: "2"}
+    for value, line in want.items():
+        assert chat.canonical(value) == line
+        assert json.loads(line) == value
+
+
+def test_schemas():
+    one = {"type": ["integer", "null"]}
+    assert chat.faults(None, one) == chat.faults(3.0, one) == []
+    assert chat.faults("3", one) == ["$: not of type integer or null"]
+    assert chat.faults(True, {"enum": [1]}) and not chat.faults(1.0, {"enum": [1]})
+    for schema in ({"minLength": 1}, {"properties": {"a": {"pattern": "x"}}}, {"type": "text"}, {"items": {"anyOf": []}}, {"type": ["integer", "none"]}):
+        with pytest.raises(ValueError):
+            chat.refuse_unknown(schema)
