@@ -56,10 +56,16 @@ def plainly(text, tokens):
 
     a, b = spans(a), spans(b)
     cuts = sorted({s for *_, s in a} & {s for *_, s in b})
-    groups, low = [], 0
-    for cut in cuts:
-        groups.append("|".join(",".join(str(i) for i, lo, hi in side if low <= lo < cut) for side in (a, b)))
-        low = cut
+    sides = []
+    for side in (a, b):
+        groups, rest = [], iter(side)
+        for cut in cuts:
+            own = []
+            while not own or own[-1][2] < cut:
+                own.append(next(rest))
+            groups.append(",".join(str(i) for i, *_ in own))
+        sides.append(groups)
+    groups = map("|".join, zip(*sides))
     links, j = Counter(), 0
     for i, lo, hi in a:
         while b[j][2] <= lo:
