@@ -140,9 +140,10 @@ def test_rmse_notes(spark, sea, store):
 def test_training_counts_what_it_leaves_out(spark, sea, store):
     label = F.when(F.col("feature_2") > 1, F.col("label"))
     part = sea.where("blk = 1").withColumn("label", label)
+    before = set(glob(f"{work_root(spark)}/driftmon/history-*"))  # the folder may be shared with other runs
     run = jobs.train(spark, part, store)
     assert run["note"] == f"{part.where('label is null').count()} rows without a label were not used"
-    assert not glob(f"{work_root(spark)}/driftmon/history-*")
+    assert set(glob(f"{work_root(spark)}/driftmon/history-*")) <= before
 
 
 def test_rmse_cycle(spark, sea, store):
@@ -242,3 +243,20 @@ def test_gate(spark):
     assert runs.distinct_stamps(log).first().runs == 4
     assert runs.gate(log).first().ready
     assert not runs.gate(log.where("run_id in ('b', 'c', 'd')")).first().ready
+
+
+def test_a_job_tried_again_adds_nothing(spark, sea, store):
+    run = jobs.train(spark, sea.where("blk = 1"), store, kind="regressor")
+    for _ in range(2):
+        jobs.test_rmse(spark, sea.where("blk = 4"), run, store, factor=0.0, run_id="once")
+    assert spark.read.parquet(store.drifted).count() == sea.where("blk = 4").count()
+    assert spark.read.parquet(store.alerts).count() == 1
+    assert runs.read_runs(spark, store.runs).where("kind = 'test'").count() == 1
+
+
+def test_a_commit_that_died_is_not_seen(spark, folder):
+    rows = spark.range(3).toDF("n")
+    rows.write.parquet(f"{folder}/t.staged/left-behind")
+    assert runs.commit(rows, f"{folder}/t", "a") and not runs.commit(rows, f"{folder}/t", "a")
+    assert runs.commit(rows, f"{folder}/t", "b")
+    assert runs.committed(spark, f"{folder}/t", rows.schema).count() == 6
