@@ -2,14 +2,17 @@
 
 Features are the n-grams (three to five characters of the lower-cased text) that a text holds,
 hashed into a fixed number of slots. Each is scaled by the logarithm of how much more often
-toxic than other training texts hold it, with one added to each count; slots whose ratio is
-small either way would be scaled to nearly nothing and are left out. A logistic regression is
-fitted on the scaled features. Its penalty is the one of PENALTIES with the least loss on a
-fifth of the training texts, learning from the others.
+toxic than other training texts hold it; SMOOTHING counts are added to every slot, dealt to the
+two labels as all counts are, so that a slot no text holds has a ratio of one. A logistic
+regression is fitted on all scaled slots, with both labels weighing the same. Of several penalties given it
+takes the one with the least loss on a fifth of the training texts, learning from the others.
 
 A null text counts as empty: it has no n-grams, so its score is the intercept's. If the
 training rows have one label only, every score is that label's smoothed share; without any
-training rows it is 0.5, which predicts 1. Repeated rows count each.
+training rows it is 0.5, which predicts 1. Repeated rows count each, in training as in scoring;
+equal texts have equal scores, and a score of exactly 0.5 predicts 1. A text of any length is
+scored whole: it holds a slot or not. Null ids and columns beside id and text change nothing,
+whatever their names; no rows give no rows.
 """
 
 from collections.abc import Iterator
@@ -18,19 +21,20 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from driftmon.llm.common import as_bytes
 from driftmon.session import written
 
 SIZES = (3, 4, 5)
 BITS = 18  # slots of the hash: 2 ** 18
-LEAST_RATIO, LEAST_TEXTS = 1.0, 8  # a slot counts from this ratio and number of texts on
-MOST_SLOTS = 4096  # those with the strongest evidence
-PENALTIES = (0.01, 0.001, 0.0001)
+SMOOTHING = 64.0  # the best ranking in two folds of the learning rows of sf0.1, of 4, 16, 64 and 256
+PENALTIES = (0.001,)  # of 0.01 and 0.001 the one a split of the learning rows of sf0.1 chose
+STEPS, MOVES, SETTLED = 40, 8, 1e-6  # of a fit: most steps, moves it recalls, share of the loss at which it ends
+PARTS = 12  # partitions of the learning rows
 TRIED = 5  # one in so many texts judges the penalties
 
 
@@ -52,104 +56,170 @@ def slots_of(text: bytes) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def _evidence(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """For each label, how many texts hold each slot; summed per task before the shuffle."""
+def held_slots(slots: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Each slot once, as its last repeat; `last` is room for a number per slot, in any state."""
+    at = np.arange(len(slots), dtype=last.dtype)
+    last[slots] = at
+    return slots[last[slots] == at]
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, 1 << BITS), np.int64)
+
+@F.arrow_udf(BinaryType())
+def _places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Of each text the slots it holds, as 32-bit numbers."""
+    last = np.zeros(1 << BITS, np.int64)
+    for batch in batches:
+        slots = (np.sort(held_slots(slots_of(t), last)).astype(np.int32) for t in batch.to_pylist())
+        yield pa.array([s.tobytes() for s in slots], pa.binary())
+
+
+def _summed(rows: DataFrame, width: int, add) -> np.ndarray:
+    """The sum over all rows of what `add(total, label, slots)` adds to a row of `width` numbers;
+    a task sends its sum only, and the sums are added in the order of the tasks."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
         for batch in batches:
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held[int(label > 0.5), np.unique(slots_of(text))] += 1
-        for label in (0, 1):
-            at = np.flatnonzero(held[label])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(at), label)), pa.array(at), pa.array(held[label, at])], ["label", "slot", "n"]
-            )
+            for label, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                add(total, label, np.frombuffer(at, np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([TaskContext.get().partitionId()]), pa.array([total.tobytes()], pa.binary())], ["task", "total"]
+        )
+
+    parts = rows.select("label", "at").mapInArrow(task, "task long, total binary").collect()
+    return sum((np.frombuffer(p["total"]) for p in sorted(parts, key=lambda p: p["task"])), np.zeros(width))
+
+
+def _evidence(rows: DataFrame) -> np.ndarray:
+    """For each label, how many texts hold each slot."""
+    slots = 1 << BITS
 
-    counts = rows.select("label", as_bytes("text")).mapInArrow(counted, "label long, slot long, n long")
-    found = counts.groupBy("label", "slot").agg(F.sum("n").alias("n")).toPandas()  # 2 ** 19 rows at most
-    held = np.zeros((2, 1 << BITS))
-    held[found["label"], found["slot"]] = found["n"]
-    return held[0], held[1]
+    def add(total, label, at):
+        total[at + slots * int(label > 0.5)] += 1
+
+    return _summed(rows, 2 * slots, add).reshape(2, slots)
+
+
+def ratios(held: np.ndarray) -> np.ndarray:
+    """Log-count ratios of all slots, from the counts of clean and toxic texts that hold them."""
+    totals = held.sum(axis=1, keepdims=True)
+    if not totals.all():
+        return np.zeros(held.shape[1])
+    smoothed = held / totals + SMOOTHING / totals.sum()
+    return np.log(smoothed[1] / smoothed[0])
 
 
 @dataclass(frozen=True)
 class Model:
-    slots: tuple[int, ...]
-    weights: tuple[float, ...]
+    weights: bytes  # a float64 for each slot; empty: all zero
     intercept: float
 
 
-def _chosen(clean: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The slots that count and their log-count ratios."""
-    p, q = 1 + toxic, 1 + clean
-    ratio = np.log((p / p.sum()) / (q / q.sum()))
-    good = (np.abs(ratio) >= LEAST_RATIO) & (toxic + clean >= LEAST_TEXTS)
-    strength = np.where(good, np.abs(ratio) * np.sqrt(toxic + clean), 0)
-    slots = np.sort(np.argsort(-strength, kind="stable")[: min(MOST_SLOTS, int(good.sum()))])
-    return slots, ratio[slots]
-
-
-def learn(train: DataFrame) -> Model:
-    """Fit on `train` (label, text), as `labelled` gives it."""
-    train = written(train.repartition(12, F.xxhash64("text")), "toxic-train")
-    many, toxic = train.agg(F.count("*"), F.sum("label")).first()
+def learn(train: DataFrame, penalties=PENALTIES) -> Model:
+    """Fit on `train` (label, text), as `labelled` gives it. The slots of its texts are found once."""
+    rows = train.select("label", F.xxhash64("text").alias("part"), _places(as_bytes("text")).alias("at"))
+    rows = written(rows.repartition(PARTS), "toxic-slots")
+    many, toxic = rows.agg(F.count("*"), F.sum("label")).first()
     if not many or toxic in (0, many):
         share = (toxic + 1) / (many + 2) if many else 0.5
-        return Model((), (), float(np.log(share / (1 - share))))
-    judge = F.pmod(F.xxhash64(F.lit(1), "text"), F.lit(TRIED)) == 0
-    return _fitted(train, [_penalty(train.where(~judge), train.where(judge))])[0]
+        return Model(b"", float(np.log(share / (1 - share))))
+    if len(penalties) > 1:
+        judge = F.pmod("part", F.lit(TRIED)) == 0
+        penalties = [_penalty(rows.where(~judge), rows.where(judge), penalties)]
+    (weights,) = _fitted(rows, penalties)
+    return Model(weights[:-1].tobytes(), float(weights[-1]))
 
 
-def _penalty(train: DataFrame, judge: DataFrame) -> float:
-    """The penalty whose fit on `train` has the least loss on `judge`; the first if none can tell."""
-    many, toxic = train.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
+def _penalty(rows: DataFrame, judge: DataFrame, penalties) -> float:
+    """The penalty whose fit on `rows` has the least loss on `judge`; the first if none can tell."""
+    many, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if toxic in (0, many) or judge.isEmpty():
-        return PENALTIES[0]
-    losses = []
-    for model in _fitted(train, PENALTIES):
-        held = judge.select("label", toxicity("text", model).alias("p"))
-        right = F.when(F.col("label") > 0.5, F.col("p")).otherwise(1 - F.col("p"))
-        losses.append(held.agg(F.sum(-F.log(F.greatest(right, F.lit(1e-12))))).first()[0])
-    return PENALTIES[int(np.argmin(losses))]
-
-
-def _fitted(train: DataFrame, penalties) -> list[Model]:
-    """A model for each penalty."""
-    slots, ratio = _chosen(*_evidence(train))
-    if not len(slots):
-        many, toxic = train.agg(F.count("*"), F.sum("label")).first()
-        return [Model((), (), float(np.log(toxic / (many - toxic))))] * len(penalties)
-
-    @F.arrow_udf("array<int>")
-    def places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array(
-                [np.flatnonzero(np.isin(slots, slots_of(t))).astype(np.int32) for t in batch.to_pylist()],
-                pa.list_(pa.int32()),
-            )
-
-    vector = F.udf(lambda at: Vectors.sparse(len(slots), at, ratio[at]), VectorUDT())
-    rows = written(train.select("label", places(as_bytes("text")).alias("at")), "toxic-features")
-    rows = rows.select("label", vector("at").alias("features"))
-    models = []
-    for penalty in penalties:
-        fitted = LogisticRegression(maxIter=50, regParam=penalty, standardization=False).fit(rows)
-        weights = np.asarray(fitted.coefficients.toArray()) * ratio
-        models.append(Model(tuple(slots.tolist()), tuple(weights.tolist()), float(fitted.intercept)))
-    return models
+        return penalties[0]
+    losses, _ = _losses(judge, _fitted(rows, penalties), (many / (2 * (many - toxic)), many / (2 * toxic)))
+    return penalties[int(np.argmin(losses))]
+
+
+def _losses(rows: DataFrame, points: list[np.ndarray], shares) -> tuple[np.ndarray, np.ndarray]:
+    """Logistic loss and its slope at each point, a weight per slot and the intercept; a row
+    counts as `shares` says for its label."""
+    tried = np.stack(points)
+    many, width = tried.shape
+
+    def add(total, label, at):
+        z = tried[:, at].sum(axis=1) + tried[:, -1]
+        toxic = label > 0.5
+        share, away = shares[toxic], (-z if toxic else z)
+        total[:many] += share * np.logaddexp(0, away)
+        slope = share * (1 if not toxic else -1) * np.exp(-np.logaddexp(0, -away))
+        by_point = total[many:].reshape(many, width)
+        by_point[:, at] += slope[:, None]
+        by_point[:, -1] += slope
+
+    total = _summed(rows, many * (width + 1), add)
+    return total[:many], total[many:].reshape(many, width)
+
+
+def _descent(width: int):
+    """Limited-memory quasi-Newton steps: yields points, is sent the loss and the slope there, and
+    returns the last point."""
+    at = np.zeros(width)
+    loss, slope = yield at
+    moves = []
+    for _ in range(STEPS):
+        step, kept = -slope, []
+        for move, bend in reversed(moves):
+            share = (move @ step) / (bend @ move)
+            step = step - share * bend
+            kept.append(share)
+        if moves:
+            move, bend = moves[-1]
+            step = step * ((move @ bend) / (bend @ bend))
+        for (move, bend), share in zip(moves, reversed(kept)):
+            step = step + move * (share - (bend @ step) / (bend @ move))
+        length = 1.0 if moves else 1 / max(1.0, np.abs(slope).sum())
+        while True:
+            there = at + length * step
+            lower, new = yield there
+            if lower <= loss + 1e-4 * length * (slope @ step) or length < 1e-10:
+                break
+            length /= 2
+        move, bend, gain = there - at, new - slope, loss - lower
+        if move @ bend > 1e-12:
+            moves = [*moves[1 - MOVES :], (move, bend)]
+        at, loss, slope = there, lower, new
+        if abs(gain) < SETTLED * abs(loss):
+            break
+    return at
+
+
+def _fitted(rows: DataFrame, penalties) -> list[np.ndarray]:
+    """Weights and intercept for each penalty, on rows of both labels. The fits go in step, so
+    that a pass over the rows serves them all."""
+    many, toxic = rows.agg(F.count("*"), F.sum("label")).first()
+    shares = (many / (2 * (many - toxic)), many / (2 * toxic))
+    scale = np.append(ratios(_evidence(rows)), 1.0)
+    fits = {k: _descent(len(scale)) for k in range(len(penalties))}
+    points, done = {k: next(fit) for k, fit in fits.items()}, {}
+    while points:
+        order = list(points)
+        losses, slopes = _losses(rows, [points[k] * scale for k in order], shares)
+        for k, loss, slope in zip(order, losses, slopes):
+            held = np.append(points[k][:-1], 0.0)  # the intercept is free
+            sent = loss / many + penalties[k] / 2 * (held @ held), slope * scale / many + penalties[k] * held
+            try:
+                points[k] = fits[k].send(sent)
+            except StopIteration as end:
+                done[k] = end.value * scale
+                del points[k]
+    return [done[k] for k in range(len(penalties))]
 
 
 class Scorer:
     def __init__(self, model: Model):
-        self.slots, self.weights = np.array(model.slots, np.int64), np.array(model.weights)
-        self.intercept, self.marks = model.intercept, np.zeros(1 << BITS, bool)
+        self.weights = np.frombuffer(model.weights) if model.weights else np.zeros(1 << BITS)
+        self.intercept, self.last = model.intercept, np.zeros(1 << BITS, np.int64)
 
     def score(self, text: bytes) -> float:
-        slots = slots_of(text)
-        self.marks[slots] = True
-        z = self.intercept + self.weights[self.marks[self.slots]].sum()
-        self.marks[slots] = False
+        z = self.intercept + self.weights[held_slots(slots_of(text), self.last)].sum()
         return float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
 
 
