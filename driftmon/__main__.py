@@ -10,7 +10,7 @@ from driftmon.functions.codec import decode, has_key, random_id, round_number
 from driftmon.plans import jobs, models, runs
 from driftmon.schemas import AUC_THRESHOLD, FEATURES, RECORD
 from driftmon.session import pin
-from driftmon.sources.files import drift_path, read_arff, take_slice
+from driftmon.sources.files import drift_path, index_arff, start_slices, take_slice
 from driftmon.sources.keyed import create_views, last_batch, read_table
 from driftmon.sources.streams import TOPIC, kafka_options, read_stream, write_records
 from driftmon.streaming.ingest import start_ingest, start_rejects
@@ -44,23 +44,33 @@ def stream(spark, args, store):
 def produce(spark, args, store):
     """The next slice of a drift file as records, to the topic or to a folder.
 
-    The file is parsed and numbered once, on the first call.
+    The file is parsed and numbered once, on the first call. With `--every` a stream sends a
+    slice each interval, or one in all with `--once`, and keeps the cursor itself; a slice that
+    fails is sent again.
     """
     indexed = store.path(f"indexed/drift-{args.drift}")
-    if not storage.exists(spark, f"{indexed}/_SUCCESS"):
-        rows = read_arff(spark, drift_path(args.source, args.drift))
-        rows.write.mode("overwrite").parquet(indexed)
-    rows = take_slice(spark.read.parquet(indexed), args.cursor, args.size)
-    records = rows.select(
-        random_id().alias("id"),
-        F.current_timestamp().alias("timestamp"),
-        *[round_number(c).alias(c) for c in [*FEATURES, "label"]],
-    )
-    if args.servers:
-        options = {"kafka.bootstrap.servers": args.servers, "topic": args.topic}
-        write_records(records, "kafka", **options)
+    if storage.exists(spark, f"{indexed}/_SUCCESS"):
+        rows = spark.read.parquet(indexed)
     else:
-        write_records(records, "text", store.path("messages"))
+        rows = index_arff(spark, drift_path(args.source, args.drift), indexed)
+
+    def send(part, batch_id=None):
+        records = part.select(
+            random_id().alias("id"),
+            F.current_timestamp().alias("timestamp"),
+            *[round_number(c).alias(c) for c in [*FEATURES, "label"]],
+        )
+        if args.servers:
+            options = {"kafka.bootstrap.servers": args.servers, "topic": args.topic}
+            write_records(records, "kafka", **options)
+        else:
+            write_records(records, "text", store.path("messages"))
+
+    if not args.every:
+        return send(take_slice(rows, args.cursor, args.size))
+    pace = trigger(args) or {"processingTime": args.every}
+    cursor = store.path(f"offsets/produce-{args.drift}")
+    start_slices(rows, args.size, send, cursor, pace).awaitTermination()
 
 
 def load(spark, args, store):
@@ -148,6 +158,7 @@ def parse(argv=None):
     parser.add_argument("--drift", type=int, default=1, help="drift type 1 to 4")
     parser.add_argument("--cursor", type=int, default=0)
     parser.add_argument("--size", type=int, default=1)
+    parser.add_argument("--every", help="produce a slice each interval, as in '10 seconds'")
     parser.add_argument("--width", default="1 day", help="monitor window")
     parser.add_argument("--late", default="10 minutes", help="monitor waits so long for records")
     parser.add_argument("--threshold", type=float, default=AUC_THRESHOLD)

@@ -160,7 +160,10 @@ def train(
     return run
 
 
-def _scored(spark: SparkSession, table: DataFrame, baseline: dict) -> tuple[DataFrame, str, int]:
+Scored = tuple[DataFrame, str, int]
+
+
+def _scored(spark: SparkSession, table: DataFrame, baseline: dict) -> Scored:
     """The scored rows, written, where they are, and how many could not be scored."""
     path = work_path(spark, "scored")
     incomplete = table.where(~models.complete()).count()
@@ -177,14 +180,16 @@ def test(
     threshold: float = AUC_THRESHOLD,
     run_id: str | None = None,
     started: datetime | None = None,
+    scored: Scored | None = None,
 ) -> dict:
-    """Score the table, compare with the baseline run, store verdict rows, log the run.
+    """Score the table, or take it as `scored` before, compare with the baseline run, store verdict rows, log the run.
 
     The scored rows are written first and measured from what was written, so the
     verdict belongs to exactly the rows that carry it. `table` holds a key once. Tried again
     under its `run_id`, a test replaces its batch and adds no second alert or run.
     """
-    scored, path, incomplete = _scored(spark, table, baseline)
+    mine = scored is None
+    scored, path, incomplete = scored or _scored(spark, table, baseline)
     measured = auc(scored).withColumn(
         "drift", auc_drift(F.col("auc"), F.lit(baseline["auc"]).cast("double"), threshold)
     )
@@ -199,7 +204,8 @@ def test(
     write_batch(rows, store.verdicts, batch_id, VERDICT, settled=True)
     log_alert(spark, store, run, baseline, "auc")
     runs.log_run(spark, store.runs, run)
-    discard(spark, path)
+    if mine:
+        discard(spark, path)
     return run
 
 
@@ -223,10 +229,12 @@ def test_rmse(
     factor: float = RMSE_FACTOR,
     run_id: str | None = None,
     started: datetime | None = None,
+    scored: Scored | None = None,
 ) -> dict:
     """RMSE variant: rows are stored, with the run's stamp, only when drift was found, and once
     under the run's id, however often the job is tried. `started` is the stamp, by default now."""
-    scored, path, incomplete = _scored(spark, table, baseline)
+    mine = scored is None
+    scored, path, incomplete = scored or _scored(spark, table, baseline)
     measured = rmse(scored).withColumn(
         "drift", rmse_drift(F.col("rmse"), F.lit(baseline["rmse"]).cast("double"), factor)
     )
@@ -243,7 +251,8 @@ def test_rmse(
         runs.commit(rows, out or store.drifted, run["run_id"])
     log_alert(spark, store, run, baseline, "rmse")
     runs.log_run(spark, store.runs, run)
-    discard(spark, path)
+    if mine:
+        discard(spark, path)
     return run
 
 
@@ -261,12 +270,18 @@ def promote_and_clear(spark: SparkSession, store: Store, up_to: int, after: int
 
 
 def run_test(
-    spark: SparkSession, table: DataFrame, baseline: dict, store: Store, batch_id: int, kind: str
+    spark: SparkSession,
+    table: DataFrame,
+    baseline: dict,
+    store: Store,
+    batch_id: int,
+    kind: str,
+    scored: Scored | None = None,
 ) -> dict:
     """The test that goes with the kind of model."""
     if kind == "regressor":
-        return test_rmse(spark, table, baseline, store)
-    return test(spark, table, baseline, store, batch_id)
+        return test_rmse(spark, table, baseline, store, scored=scored)
+    return test(spark, table, baseline, store, batch_id, scored=scored)
 
 
 def run_cycle(spark: SparkSession, store: Store, kind: str = "classifier", **params) -> dict:
@@ -274,22 +289,29 @@ def run_cycle(spark: SparkSession, store: Store, kind: str = "classifier", **par
 
     Each test reads the finished stream batches up to the newest when it starts, and
     the promotion moves exactly what the last test has seen. A stream that keeps
-    writing loses nothing; without a stream the cycle ends after training.
+    writing loses nothing; without a stream the cycle ends after training. While no batch has
+    come since the test before, the rows that it scored are measured again.
     """
     mark = promoted_up_to(runs.read_runs(spark, store.runs)) if logged(spark, store) else None
     up_to = last_batch(spark, store.history)
     history = read_table(spark, store.history, RECORD, up_to=up_to)
     trained = train(spark, history, store, kind, **params)
     batch = runs.read_runs(spark, store.runs).where("kind = 'test'").count()
+    tested, scored = None, None
     while True:
         up_to = last_batch(spark, store.stream)
         if up_to is None or (mark is not None and up_to <= mark):
             return trained
         table = read_table(spark, store.stream, RECORD, mark, up_to)
-        run_test(spark, table, trained, store, batch, kind)
+        if up_to != tested:
+            if scored:
+                discard(spark, scored[1])
+            tested, scored = up_to, _scored(spark, table, trained)
+        run_test(spark, table, trained, store, batch, kind, scored)
         batch += 1
         log = runs.read_runs(spark, store.runs)
         if runs.gate(runs.runs_since(log, "test", trained["start_time"])).first()["ready"]:
+            discard(spark, scored[1])
             return promote_and_clear(spark, store, up_to, mark)
 
 

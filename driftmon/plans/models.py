@@ -26,15 +26,25 @@ def pipeline(kind: str = "classifier", invalid: str = "error", seed: int = SEED,
     return Pipeline(stages=[assembler, gbt])
 
 
-def spread(df: DataFrame, by: str | int | None = None) -> DataFrame:
-    """Optional repartition before training: a column name or a partition count.
+Spread = str | int | tuple[str, int] | None
 
-    A column spreads rows by its values only, so `label` fills two partitions.
+
+def spread(df: DataFrame, by: Spread = None) -> DataFrame:
+    """Optional repartition before training: a column name, a partition count, or both.
+
+    A column alone spreads rows by its values, so `label` fills two partitions. With a count as
+    well, every value is dealt over all partitions, so that each holds each class in its share,
+    but for chance; equal rows part as others do.
     """
-    return df if by is None else df.repartition(by)
+    if not isinstance(by, tuple):
+        return df if by is None else df.repartition(by)
+    column, parts = by
+    salted = F.xxhash64(column, F.monotonically_increasing_id())
+    place = F.pmod(salted, F.lit(parts)).cast("int")
+    return df.withColumn("_place", place).repartitionById(parts, F.col("_place")).drop("_place")
 
 
-def fit(train: DataFrame, kind: str = "classifier", by: str | int | None = None, **params):
+def fit(train: DataFrame, kind: str = "classifier", by: Spread = None, **params):
     needed = train.select(*FEATURES, F.col("label").cast("double").alias("label"))
     return pipeline(kind, **params).fit(spread(needed, by))
 

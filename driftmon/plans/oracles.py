@@ -195,6 +195,12 @@ SELECT row_number() OVER (ORDER BY "timestamp", id) - 1 AS idx,
   SELECT row_number() OVER (ORDER BY "timestamp", id) - 1 AS idx, * FROM sea)
 SELECT idx, feature_0, feature_1, feature_2, label,
   CASE WHEN idx < 10 THEN 0 WHEN idx < 1000 THEN 10 ELSE 1000 END AS slice FROM placed""",
+    "drift_sources": f"""WITH {SEA}
+SELECT row_number() OVER (PARTITION BY blk ORDER BY "timestamp", id) - 1 AS idx,
+  feature_0, feature_1, feature_2, label, CAST(blk AS INTEGER) AS drift_type FROM sea""",
+    "slice_stream": f"""WITH {SEA}, placed AS (
+  SELECT row_number() OVER (ORDER BY "timestamp", id) - 1 AS idx, count(*) OVER () AS n, * FROM sea)
+SELECT idx, feature_0, feature_1, feature_2, label, idx // ((n + 2) // 3) AS slice FROM placed""",
     "row_number_by_time": f"""WITH {EVENTS}
 SELECT id, "timestamp", label, row_number() OVER (ORDER BY "timestamp", id) AS row_num FROM ev""",
     "history_count": """
@@ -257,6 +263,8 @@ SELECT model, count(DISTINCT start_time) AS runs, count(DISTINCT start_time) >=
 FROM runs GROUP BY model""",
     "run_log_roundtrip": f"""WITH {RUN_LOG}
 SELECT run_id, start_time, status, CASE WHEN isnan(auc) THEN -1 ELSE auc END AS auc FROM runs""",
+    "class_spread": f"""WITH {SEA}
+SELECT label, count(*) AS "rows", CAST(4 AS BIGINT) AS parts, TRUE AS even FROM sea GROUP BY label""",
     "gbt_train_test": f"""WITH {_block_aucs("hard", STEPS, "steps")}
 SELECT blk, id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp",
   train_auc, test_auc, drift FROM steps JOIN verdicts USING (blk)""",
@@ -267,6 +275,7 @@ SELECT id, "timestamp", label, hard AS prediction, hard = 1 AS positive, hard =
 SELECT blk, round(train_rmse, 9) AS train_rmse, round(test_rmse, 9) AS test_rmse, drift,
   0.0::DOUBLE AS stored_rmse FROM verdicts""",
     "cycle_history": f"WITH {STEPS} {CYCLED}",
+    "cycle_remaining": f"WITH {STEPS} {CYCLED}".replace("blk < 4", "blk = 4"),
     "cycle_verdicts": f"""WITH {STREAMED}
 SELECT id, label, hard AS prediction, feature_0, feature_1, feature_2, "timestamp",
   1.0::DOUBLE AS train_auc, CAST(CAST(auc AS FLOAT) AS DOUBLE) AS test_auc,
@@ -283,6 +292,10 @@ FROM steps, range(3) WHERE blk IN (2, 3) GROUP BY range""",
     "stream_ingest": f"WITH {EVENTS} SELECT "
     + STORED.format(time="date_trunc('millisecond', \"timestamp\")")
     + " FROM ev",
+    "consumer_lag": f"""WITH {EVENTS}
+SELECT consumer, count(*) AS messages,
+  count(*) FILTER (WHERE consumer = 'late' OR (consumer = 'audit' AND label <> 1)) AS behind
+FROM ev, (VALUES ('audit'), ('store'), ('late')) AS c(consumer) GROUP BY consumer""",
     "monitor_spells": f"""{WINDOWS}, closed AS (
   SELECT *, coalesce(abs(test_auc - train_auc) > 0.01::DOUBLE, false) AS moved FROM windows
   WHERE window_end <= (SELECT max("timestamp") FROM ev) - INTERVAL 10 MINUTE),

@@ -2,7 +2,7 @@
 
 import uuid
 from datetime import datetime, timedelta, timezone
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,7 +36,15 @@ from driftmon.schemas import (
     WINDOW_VERDICT,
 )
 from driftmon.session import pin, work_path, written
-from driftmon.sources.files import read_arff, take_slice
+from driftmon.sources.consumers import lag
+from driftmon.sources.files import (
+    DRIFT_FILES,
+    drift_path,
+    index_arff,
+    read_arff,
+    start_slices,
+    take_slice,
+)
 from driftmon.sources.keyed import (
     BATCH,
     compact,
@@ -317,9 +325,8 @@ def _promotion(spark, sf_dir):
 # Files and slices
 
 
-def _arff(spark, sf_dir):
-    """The stream in time order as ARFF text, read back."""
-    sea = fixtures.sea(spark, sf_dir)
+def _write_arff(spark, points, path):
+    """Points in time order as ARFF text."""
     header = spark.createDataFrame(
         [
             ("% points in stream order",),
@@ -331,9 +338,13 @@ def _arff(spark, sf_dir):
         "value string",
     ).coalesce(1)
     line = F.concat_ws(",", *[F.col(c) for c in RECORD_COLUMNS[2:]])
-    lines = sea.orderBy("timestamp", "id").select(line.alias("value"))
+    header.union(points.orderBy("timestamp", "id").select(line.alias("value"))).write.text(path)
+
+
+def _arff(spark, sf_dir):
+    """The stream in time order as ARFF text, read back."""
     path = work_path(spark, "arff")
-    header.union(lines).write.text(path)
+    _write_arff(spark, fixtures.sea(spark, sf_dir), path)
     return read_arff(spark, path)
 
 
@@ -353,6 +364,34 @@ def source_slice(spark, sf_dir):
     return parts[0].union(parts[1]).union(parts[2])
 
 
+@query
+def drift_sources(spark, sf_dir):
+    """A file for each type of drift, each found by its type and read in its own order."""
+    sea = written(fixtures.sea(spark, sf_dir), "sea")
+    folder, parts = work_path(spark, "drift"), []
+    for kind in sorted(DRIFT_FILES):
+        _write_arff(spark, sea.where(F.col("blk") == kind), drift_path(folder, kind))
+        rows = read_arff(spark, drift_path(folder, kind))
+        parts.append(rows.withColumn("drift_type", F.lit(kind)))
+    return reduce(DataFrame.union, parts)
+
+
+@query
+def slice_stream(spark, sf_dir):
+    """A file sent in three slices by a stream that is stopped after each, and once more past the end."""
+    path, indexed, out, cursor = (work_path(spark, n) for n in ("arff", "indexed", "slices", "offsets"))
+    _write_arff(spark, fixtures.sea(spark, sf_dir), path)
+    rows = index_arff(spark, path, indexed)
+    size = -(-rows.count() // 3)
+
+    def send(part, n):
+        part.write.mode("overwrite").parquet(f"{out}/{BATCH}={n}")
+
+    for _ in range(4):
+        start_slices(rows, size, send, cursor, {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(out).withColumn("slice", F.col(BATCH).cast("long")).drop(BATCH)
+
+
 # Ranks and splits
 
 
@@ -539,6 +578,21 @@ def run_log_roundtrip(spark, sf_dir):
 
 # Models
 
+PARTS = 4
+
+
+@query
+def class_spread(spark, sf_dir):
+    """Training rows dealt so that every partition has its share of each class; the rows of one
+    partition may be off by five standard deviations of chance."""
+    dealt = models.spread(fixtures.sea(spark, sf_dir).select("label"), ("label", PARTS))
+    found = dealt.groupBy("label", F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"))
+    share = F.sum("n") / PARTS
+    off = F.greatest(F.max("n") - share, share - F.min("n"))
+    return found.groupBy("label").agg(
+        F.sum("n").alias("rows"), F.count("*").alias("parts"), (off <= 5 * F.sqrt(share)).alias("even")
+    )
+
 # A bin for every quantity, and no split on what is left of rounding once a point is fitted.
 EXACT = {"maxBins": 64, "minInfoGain": 1e-9}
 
@@ -562,6 +616,20 @@ def gbt_train_test(spark, sf_dir):
     return stamp_by(scored, _auc_verdicts(scored), "blk").select("blk", *VERDICT.names)
 
 
+def sea_scores(spark, sf_dir):
+    """Noisy points whose concept needs two features, scored by a model of their first block."""
+    store = jobs.Store(work_path(spark, "store"))
+    sea = written(fixtures.sea(spark, sf_dir), "sea")
+    run = jobs.train(spark, sea.where("blk = 1"), store)
+    return written(models.score(models.load(run["artifact_uri"]), sea), "scored"), run
+
+
+@query
+def gbt_sea(spark, sf_dir):
+    """Verdicts by block on points that no tree fits without error."""
+    return _auc_verdicts(sea_scores(spark, sf_dir)[0])
+
+
 @query
 def gbt_score(spark, sf_dir):
     """Predictions, the side of the margin and of the probability, and the AUC on the hold-out."""
@@ -585,13 +653,15 @@ def gbt_regressor(spark, sf_dir):
 
 
 def _cycled(spark, sf_dir, kind):
-    """A store after a whole cycle: the first block is history, the next two were streamed."""
+    """A store after a whole cycle: the first block is history, the next two were streamed before
+    the cycle, the last one after it."""
     store = jobs.Store(work_path(spark, "store"))
     steps = written(fixtures.steps(spark, sf_dir), "steps")
     records = steps.select(*RECORD.names, "blk")
     for path, batch, blk in ((store.history, 0, 1), (store.stream, 0, 2), (store.stream, 1, 3)):
         write_batch(records.where(F.col("blk") == blk), path, batch, RECORD)
     jobs.run_cycle(spark, store, kind, **EXACT)
+    write_batch(records.where("blk = 4"), store.stream, 2, RECORD)
     return store
 
 
@@ -600,6 +670,14 @@ def cycle_history(spark, sf_dir):
     return widened(read_table(spark, _cycled(spark, sf_dir, "classifier").history, RECORD))
 
 
+@query
+def cycle_remaining(spark, sf_dir):
+    """What the stream's table shows after the cycle: the block that came later."""
+    store = _cycled(spark, sf_dir, "classifier")
+    mark = jobs.promoted_up_to(runs.read_runs(spark, store.runs))
+    return widened(read_table(spark, store.stream, RECORD, mark))
+
+
 @query
 def cycle_verdicts(spark, sf_dir):
     return widened(read_table(spark, _cycled(spark, sf_dir, "classifier").verdicts, VERDICT))
@@ -654,6 +732,27 @@ def stream_ingest(spark, sf_dir):
     return widened(read_table(spark, store.stream, RECORD))
 
 
+@query
+def consumer_lag(spark, sf_dir):
+    """Two consumers of one folder with offsets of their own; the audit stops half-way."""
+    events = fixtures.events(spark, sf_dir)
+    path = work_path(spark, "messages")
+    offsets = {name: work_path(spark, "offsets") for name in ("audit", "store", "late")}
+    stores = {name: jobs.Store(work_path(spark, "store")) for name in ("audit", "store")}
+    first = F.col("label") == 1
+    for part, running in ((events.where(first), ("audit", "store")), (events.where(~first), ("store",))):
+        write_records(part, "text", path)
+        for name in running:
+            start_ingest(
+                read_stream(spark, "text", path),
+                stores[name].stream,
+                stores[name].rejects,
+                offsets[name],
+                trigger={"availableNow": True},
+            ).awaitTermination()
+    return lag(spark, path, offsets)
+
+
 @query
 def stream_monitor(spark, sf_dir):
     messages = decode(_messages(spark, sf_dir)).withColumn("score", F.col("feature_0"))

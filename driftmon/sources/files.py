@@ -73,6 +73,30 @@ def take_slice(rows: DataFrame, cursor: int, size: int = BATCH_SIZE) -> DataFram
     return rows.where((F.col("idx") >= cursor) & (F.col("idx") < cursor + size))
 
 
-def slice_number(size: int = BATCH_SIZE):
-    """Which successive slice a row belongs to."""
-    return F.call_function("div", F.col("idx"), F.lit(size))
+def index_arff(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """The file's rows stored in order of `idx`, so that a slice reads the row groups it lies in."""
+    read_arff(spark, path).orderBy("idx").write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
+def start_slices(rows: DataFrame, size: int, send, checkpoint: str, trigger: dict | None = None):
+    """Send the rows of an indexed file on in file order, `size` a micro-batch, by
+    `send(slice, batch_id)`.
+
+    The stream's offset is the place in the file, so `checkpoint` keeps the cursor: a new start
+    goes on behind the last finished slice, also with another `size`, and a slice that was not
+    finished is sent again under its number. Nothing is sent past the end. `trigger` is the
+    pace: `{"processingTime": "10 seconds"}` sends a slice each interval, `{"availableNow": True}`
+    the next one, after one that was not finished.
+    """
+    spark = rows.sparkSession
+    places = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", size).load()
+
+    def one(batch: DataFrame, batch_id: int):
+        first, last = batch.agg(F.min("value"), F.max("value")).first()
+        part = take_slice(rows, first, last - first + 1)
+        if not part.isEmpty():
+            send(part, batch_id)
+
+    writer = places.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one)
+    return (writer.trigger(**trigger) if trigger else writer).start()

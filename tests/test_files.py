@@ -2,8 +2,17 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
-from driftmon.sources.files import drift_path, read_arff, read_csv, slice_number, take_slice
+from driftmon.sources.files import (
+    drift_path,
+    index_arff,
+    read_arff,
+    read_csv,
+    start_slices,
+    take_slice,
+)
+from tests.plans import plan_of
 
 
 def test_arff_places_lines_across_splits(spark, folder):
@@ -37,8 +46,37 @@ def test_slices(spark, folder):
     assert sorted(r.idx for r in take_slice(rows, 10).collect()) == list(range(10, 20))
     assert sorted(r.idx for r in take_slice(rows, 20).collect()) == [20, 21, 22, 23, 24]
     assert take_slice(rows, 25).isEmpty()
-    counts = rows.groupBy(slice_number().alias("s")).count().collect()
-    assert {r.s: r["count"] for r in counts} == {0: 10, 1: 10, 2: 5}
+
+
+def test_slices_are_streamed_from_where_they_stopped(spark, folder):
+    """With another size after the restart, a slice that fails once, and starts past the end."""
+    Path(folder, "sea_tst1.arff").write_text("@data\n" + "".join(f"{i},0,0,1\n" for i in range(25)))
+    rows = index_arff(spark, drift_path(folder, 1), f"{folder}/indexed")
+    sent, broken = [], [True]
+
+    def send(part, n):
+        if n == 1 and broken:
+            broken.clear()
+            raise ValueError("the broker is away")
+        sent.append((n, sorted(r.idx for r in part.collect())))
+
+    def start(size):
+        query = start_slices(rows, size, send, f"{folder}/cursor", {"availableNow": True})
+        query.awaitTermination()
+
+    start(10)
+    with pytest.raises(StreamingQueryException):
+        start(10)
+    for size in (4, 4, 4):  # the first sends the failed slice again, then its own
+        start(size)
+    assert [s for s in sent if s[1]] == [(0, [*range(10)]), (1, [*range(10, 20)]), (2, [*range(20, 24)]), (3, [24])]
+    assert len(sent) == 4
+
+
+def test_a_slice_reads_by_place(spark, folder):
+    Path(folder, "a.arff").write_text("@data\n1,2,3,0\n")
+    rows = index_arff(spark, f"{folder}/a.arff", f"{folder}/indexed")
+    assert "PushedFilters: [IsNotNull(idx), GreaterThanOrEqual(idx,5), LessThan(idx,7)]" in plan_of(take_slice(rows, 5, 2))
 
 
 def test_unknown_drift_type(folder):

@@ -260,3 +260,15 @@ def test_a_commit_that_died_is_not_seen(spark, folder):
     assert runs.commit(rows, f"{folder}/t", "a") and not runs.commit(rows, f"{folder}/t", "a")
     assert runs.commit(rows, f"{folder}/t", "b")
     assert runs.committed(spark, f"{folder}/t", rows.schema).count() == 6
+
+
+def test_classes_are_dealt_over_all_partitions(spark):
+    """Equal rows as well; a column alone puts a class in one partition."""
+    rows = spark.range(4000, numPartitions=3).selectExpr("cast(id % 4 = 0 as double) as label", "1.0 as x")
+    dealt = models.spread(rows, ("label", 5))
+    assert dealt.columns == rows.columns and dealt.rdd.getNumPartitions() == 5
+    found = dealt.groupBy("label", F.spark_partition_id().alias("part")).count().collect()
+    assert len(found) == 10 and sum(r["count"] for r in found) == 4000
+    assert all(abs(r["count"] - (200 if r.label else 600)) < 5 * 600**0.5 for r in found)
+    alone = models.spread(rows, "label").select("label", F.spark_partition_id()).distinct()
+    assert alone.count() == 2

@@ -32,9 +32,12 @@ def test_jobs(spark, folder, sf_dir):
 
     job("load", source=f"{folder}/csv")
     assert read_table(spark, store.history, RECORD).count() == history.count()
-    for cursor in (0, 300):
-        job("produce", source=folder, cursor=cursor, size=300)
-        job("stream", source=store.path("messages"), once=True)
+    job("produce", source=folder, cursor=0, size=300)
+    job("stream", source=store.path("messages"), once=True)
+    Path(folder, "sea_tst2.arff").write_text("@data\n" + "\n".join(lines[300:]) + "\n")
+    for _ in range(3):  # slices of a stream that keeps the cursor; the third is past the end
+        job("produce", source=folder, drift=2, size=60, every="1 second", once=True)
+    job("stream", source=store.path("messages"), once=True)
     assert read_table(spark, store.stream, RECORD).count() == 400
     job("train")
     job("test")

@@ -6,6 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from driftmon.operators.metrics import auc, rmse
+from driftmon.plans.oracles import _auc
+from driftmon.plans.queries import sea_scores
 
 ORACLES = entry.oracle_sql()
 
@@ -42,6 +45,26 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(entry.queries())
 
 
+def test_noisy_points_are_judged_from_their_scores(spark, sf_dir):
+    """Metrics and verdicts of an imperfect model against SQL over the scores it gave."""
+    scored, run = sea_scores(spark, sf_dir)
+    frame = scored.select("blk", "score", "label", "prediction").toPandas()
+    con = duckdb.connect()
+    con.register("scored", frame)
+    sql = f"""WITH {_auc("scored", "blk")}, errors AS (
+      SELECT blk, sqrt(avg((label - prediction) * (label - prediction))) AS rmse FROM scored GROUP BY blk)
+    SELECT blk, auc, rmse FROM areas JOIN errors USING (blk) ORDER BY blk"""
+    want = con.execute(sql).fetchall()
+    aucs = {r.blk: r.auc for r in auc(scored, by=["blk"]).collect()}
+    errors = {r.blk: r.rmse for r in rmse(scored, by=["blk"]).collect()}
+    assert len(want) == 4 and frame["score"].nunique() > 20
+    for blk, area, error in want:
+        assert aucs[blk] == area and errors[blk] == pytest.approx(error, rel=1e-9)
+    assert 0.75 < run["auc"] < 1 and 0.75 < aucs[1] < 1  # one label in ten is noise
+    drift = {r.blk: r.drift for r in entry.queries()["gbt_sea"](spark, sf_dir).collect()}
+    assert drift == {blk: abs(area - want[0][1]) > 0.05 for blk, area, _ in want}
+
+
 def test_entry_stamps_every_row(spark):
     out = entry.entry(spark)
     per_block = out.groupBy("blk").agg(
