@@ -34,7 +34,7 @@ BITS = 18  # slots of the hash: 2 ** 18
 SMOOTHING = 64.0  # the best ranking in two folds of the learning rows of sf0.1, of 4, 16, 64 and 256
 PENALTIES = (0.001,)  # of 0.01 and 0.001 the one a split of the learning rows of sf0.1 chose
 STEPS, MOVES, SETTLED = 40, 8, 1e-6  # of a fit: most steps, moves it recalls, share of the loss at which it ends
-PARTS = 12  # partitions of the learning rows
+PARTS = 6  # tasks of a pass over the learning rows, which are bounded; each sends 2 ** 18 sums
 TRIED = 5  # one in so many texts judges the penalties
 
 
@@ -74,7 +74,8 @@ def _places(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def _summed(rows: DataFrame, width: int, add) -> np.ndarray:
     """The sum over all rows of what `add(total, label, slots)` adds to a row of `width` numbers;
-    a task sends its sum only, and the sums are added in the order of the tasks."""
+    a task sends its sum only, and the sums are added in the order of the tasks. The driver gets
+    at most PARTS sums a pass, into however many pieces the rows were cut."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(width)
@@ -85,7 +86,7 @@ def _summed(rows: DataFrame, width: int, add) -> np.ndarray:
             [pa.array([TaskContext.get().partitionId()]), pa.array([total.tobytes()], pa.binary())], ["task", "total"]
         )
 
-    parts = rows.select("label", "at").mapInArrow(task, "task long, total binary").collect()
+    parts = rows.select("label", "at").coalesce(PARTS).mapInArrow(task, "task long, total binary").collect()
     return sum((np.frombuffer(p["total"]) for p in sorted(parts, key=lambda p: p["task"])), np.zeros(width))
 
 
