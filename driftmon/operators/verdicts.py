@@ -21,8 +21,9 @@ def stamp(scored: DataFrame, train_auc, test_auc, drift) -> DataFrame:
 
 
 def stamp_by(scored: DataFrame, verdicts: DataFrame, on) -> DataFrame:
-    """The verdict of its group on every scored row."""
-    return scored.join(verdicts, on)
+    """The verdict of its group on every scored row. There is one verdict per group and very many
+    rows, so the verdicts go to the rows: dealt by group, a group would be one task's."""
+    return scored.join(F.broadcast(verdicts), on)
 
 
 def _baseline(metrics: DataFrame, block: str, first, metric: str):

@@ -138,3 +138,15 @@ def test_stamp_by(spark):
     verdicts = spark.range(5).select(F.col("id").alias("blk"), (F.col("id") > 2).alias("drift"))
     got = {r.id: r.drift for r in stamp_by(rows, verdicts, "blk").collect()}
     assert got == {i: i % 5 > 2 for i in range(50)}
+
+
+def test_rows_of_a_group_stay_where_they_are(spark):
+    rows = spark.range(50).withColumn("blk", F.col("id") % 2)
+    verdicts = rows.groupBy("blk").agg((F.count("*") > 2).alias("drift"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(stamp_by(rows, verdicts, "blk"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan
