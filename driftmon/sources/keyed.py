@@ -113,8 +113,10 @@ def _newest(spark: SparkSession, path: str, schema: StructType, after, up_to, ke
     if entry["low"] is not None and (after is None or after < entry["low"]):
         raise ValueError(f"rows of {path} up to batch {entry['low']} have left its base")
     since = entry["folded"] if after is None else max(after, entry["folded"])
-    # Dealt like the base, whatever the session's number of partitions, so that the base stays put.
-    dealt = scan_batches(spark, path, schema, since, up_to).repartition(entry["buckets"], *key)
+    # Dealt like the base, whatever the session's number of partitions, so that the base stays put;
+    # only if far more has come since than that number of tasks should hold, both are dealt anew.
+    parts = max(entry["buckets"], buckets_for(spark, _stored(spark, path, since, up_to)))
+    dealt = scan_batches(spark, path, schema, since, up_to).repartition(parts, *key)
     tail = latest_per_key(dealt, key, BATCH)
     there = base(spark, path, entry, with_batch(schema), key)
     if after is not None:
@@ -122,6 +124,16 @@ def _newest(spark: SparkSession, path: str, schema: StructType, after, up_to, ke
     return there.join(tail.select(*key), list(key), "left_anti").select(*tail.columns).union(tail)
 
 
+def _stored(spark: SparkSession, path: str, after: int | None = None, up_to: int | None = None) -> int:
+    """Bytes of the finished batches in (after, up_to], by folder sizes only."""
+    inside = [
+        n
+        for n in finished_batches(spark, path)
+        if (after is None or n > after) and (up_to is None or n <= up_to)
+    ]
+    return sum(storage.size(spark, f"{path}/{BATCH}={n}") for n in inside)
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -136,7 +148,8 @@ def compact(
     By default all but the newest, which a stream may still replay. Rows whose newest version
     is at or below `low` (a promotion mark that every reader has passed) are left out for good.
     Readers see the old base until the new manifest is there. One compaction at a time: a
-    second one fails when it wants to publish.
+    second one fails when it wants to publish. The base gets as many buckets as it had, as
+    `buckets` says, or as the table's size asks for, whichever is most: a task holds a bucket.
     """
     entry, newest = manifest(spark, path), last_batch(spark, path)
     if newest is None:
@@ -147,7 +160,10 @@ def compact(
     floor = low if low is not None else entry["low"] if entry else None
     rows = _newest(spark, path, schema, floor, up_to, key)
     version = entry["version"] + 1 if entry else 0
-    buckets = buckets or max(entry["buckets"] if entry else 1, buckets_for(spark, path))
+    held = storage.size(spark, entry["base"]) if entry else 0
+    since = _stored(spark, path, entry["folded"] if entry else None)
+    floor_buckets = max(buckets or 1, entry["buckets"] if entry else 1)
+    buckets = max(floor_buckets, buckets_for(spark, held + since))
     folder = write_base(to_store(rows, with_batch(schema)), path, version, key, buckets)
     reclaimed = entry["reclaimed"] if entry else None
     fields = {"version": version, "base_version": version, "base": folder, "folded": up_to, "low": floor, "reclaimed": reclaimed, "buckets": buckets}

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from driftmon import storage
 
-BUCKET_BYTES = 256 << 20  # stored bytes of the table for each bucket of its base
+BUCKET_BYTES = 32 << 20  # stored bytes for each bucket; a task sorts and merges one, many times as large in memory
 
 
 def manifest(spark: SparkSession, path: str) -> dict | None:
@@ -75,8 +75,10 @@ def write_base(rows: DataFrame, path: str, version: int, key, buckets: int) -> s
     return folder
 
 
-def buckets_for(spark: SparkSession, path: str) -> int:
-    return max(1, -(-storage.size(spark, path) // BUCKET_BYTES))
+def buckets_for(spark: SparkSession, stored: int) -> int:
+    """Buckets for so many stored bytes, as far as Spark allows them."""
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return min(max(1, -(-stored // BUCKET_BYTES)), most)
 
 
 def drop_older(spark: SparkSession, path: str, version: int) -> None:

@@ -74,6 +74,30 @@ def test_base_is_merged_where_it_lies(spark, stored):
     assert "Bucketed: true" in plan and "SelectedBucketsCount: 5 out of 5" in plan
 
 
+def test_buckets_grow_with_the_table(spark, stored, monkeypatch):
+    want = newest(read_table(spark, stored, SCHEMA))
+    one = storage.size(spark, f"{stored}/{BATCH}=0")
+    monkeypatch.setattr(settled, "BUCKET_BYTES", one // 2)
+    entry = compact(spark, stored, SCHEMA, buckets=1)
+    assert entry["buckets"] >= 7
+    assert newest(read_table(spark, stored, SCHEMA)) == want
+    reclaim(spark, stored, 2)  # the rows are in the base alone now
+    monkeypatch.setattr(settled, "BUCKET_BYTES", one // 20)
+    held = storage.size(spark, entry["base"])
+    assert compact(spark, stored, SCHEMA, up_to=3)["buckets"] >= held // (one // 20)
+    assert newest(read_table(spark, stored, SCHEMA)) == want
+
+
+def test_many_rows_since_the_base_are_dealt_over_more_tasks(spark, stored, monkeypatch):
+    want = newest(read_table(spark, stored, SCHEMA))
+    compact(spark, stored, SCHEMA, up_to=0, buckets=1)
+    late = sum(storage.size(spark, f"{stored}/{BATCH}={n}") for n in (1, 2, 3))
+    monkeypatch.setattr(settled, "BUCKET_BYTES", late // 5)
+    table = read_table(spark, stored, SCHEMA)
+    assert re.search(r"hashpartitioning\(id#\d+, timestamp#\d+, [56]\), REPARTITION_BY_NUM", plan_of(table))
+    assert newest(table) == want
+
+
 def test_another_session_finds_the_base(spark, stored):
     entry = compact(spark, stored, SCHEMA)
     want = newest(read_table(spark, stored, SCHEMA))
