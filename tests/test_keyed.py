@@ -95,6 +95,16 @@ def test_latest_with_a_hot_key(spark):
     assert got.where("k = 'hot'").first().v == "29997"
 
 
+def test_largest_row_is_compared_as_it_is(spark):
+    rows = [("a", 1.0, None), ("a", None, 9.0), ("a", 1.0, 0.5), ("a", float("nan"), None), ("b", None, None)]
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    got = latest_per_key(df, ["k"], ["x", "y"])
+    assert "max_by" not in plan_of(got)
+    assert {r.k: (str(r.x), r.y) for r in got.collect()} == {"a": ("nan", None), "b": ("None", None)}
+    df = df.where("not isnan(x) or x is null")
+    assert latest_per_key(df, ["k"], ["x", "y"]).where("k = 'a'").first()[1:] == (1.0, 0.5)
+
+
 def test_promote_is_repeatable_and_keeps_later_rows(spark, folder):
     stream, history = f"{folder}/stream", f"{folder}/history"
     write_batch(records(spark, [("a", 0, 0.0), ("h", 0, 0.0)]), history, 0, RECORD)
