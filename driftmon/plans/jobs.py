@@ -261,9 +261,12 @@ def promoted_up_to(log: DataFrame) -> int | None:
     return log.agg(F.max("promoted_up_to")).first()[0]
 
 
-def promote_and_clear(spark: SparkSession, store: Store, up_to: int, after: int | None) -> dict:
-    """Move stream batches into history and advance the mark that hides them."""
-    mark = promote(spark, store.stream, store.history, RECORD, up_to, after)
+def promote_and_clear(
+    spark: SparkSession, store: Store, up_to: int, after: int | None, rows: DataFrame | None = None
+) -> dict:
+    """Move stream batches into history, as `rows` if they were read before, and advance the mark
+    that hides them."""
+    mark = promote(spark, store.stream, store.history, RECORD, up_to, after, rows=rows)
     run = runs.new_run("promote", promoted_up_to=mark)
     runs.log_run(spark, store.runs, run)
     return run
@@ -290,29 +293,34 @@ def run_cycle(spark: SparkSession, store: Store, kind: str = "classifier", **par
     Each test reads the finished stream batches up to the newest when it starts, and
     the promotion moves exactly what the last test has seen. A stream that keeps
     writing loses nothing; without a stream the cycle ends after training. While no batch has
-    come since the test before, the rows that it scored are measured again.
+    come since the test before, the rows that it scored are measured again. The batches are
+    merged once and written; counting, scoring and the promotion read what was written.
     """
     mark = promoted_up_to(runs.read_runs(spark, store.runs)) if logged(spark, store) else None
     up_to = last_batch(spark, store.history)
     history = read_table(spark, store.history, RECORD, up_to=up_to)
     trained = train(spark, history, store, kind, **params)
     batch = runs.read_runs(spark, store.runs).where("kind = 'test'").count()
-    tested, scored = None, None
+    tested, scored, streamed = None, None, None
     while True:
         up_to = last_batch(spark, store.stream)
         if up_to is None or (mark is not None and up_to <= mark):
             return trained
-        table = read_table(spark, store.stream, RECORD, mark, up_to)
         if up_to != tested:
             if scored:
                 discard(spark, scored[1])
+                discard(spark, streamed)
+            streamed = work_path(spark, "streamed")
+            table = written_at(read_table(spark, store.stream, RECORD, mark, up_to), streamed)
             tested, scored = up_to, _scored(spark, table, trained)
         run_test(spark, table, trained, store, batch, kind, scored)
         batch += 1
         log = runs.read_runs(spark, store.runs)
         if runs.gate(runs.runs_since(log, "test", trained["start_time"])).first()["ready"]:
             discard(spark, scored[1])
-            return promote_and_clear(spark, store, up_to, mark)
+            run = promote_and_clear(spark, store, up_to, mark, table)
+            discard(spark, streamed)
+            return run
 
 
 def logged(spark: SparkSession, store: Store) -> bool:

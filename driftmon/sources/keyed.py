@@ -212,14 +212,16 @@ def promote(
     up_to: int,
     after: int | None = None,
     key=KEY,
+    rows: DataFrame | None = None,
 ) -> int:
-    """Move the stream batches in (after, up_to] into history; returns the new mark.
+    """Move the stream batches in (after, up_to] into history; returns the new mark. `rows` is
+    what `read_table` gave for these bounds, where the caller has it.
 
     The stream table stays as it is: rows up to the mark are skipped by later reads
     with `after=mark`, so rows that arrive meanwhile are not lost. History batch
     numbers follow the mark, which makes a repeated promotion overwrite itself.
     """
-    moved = read_table(spark, stream_path, schema, after, up_to, key)
+    moved = read_table(spark, stream_path, schema, after, up_to, key) if rows is None else rows
     write_batch(moved, history_path, up_to + 1, schema, key=key, settled=True)
     return up_to
 
